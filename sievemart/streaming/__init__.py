@@ -1,0 +1 @@
+"""Left empty on purpose: every job of this library is a batch job."""
