@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemart import functions as fx
-from sievemart.functions.numbers import midpoint_of
 from sievemart.operators import dedup, grouping, joins, ordering, projection, ranking, split
 from sievemart.operators.replicate import replicate_rows
 from sievemart.plans import feeds, model, reports, scaling, stage
@@ -45,7 +44,7 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def with_mid(spark: SparkSession, sf: str) -> DataFrame:
-    return scaling.with_midpoint(postings(spark, sf))
+    return projection.with_midpoint(postings(spark, sf))
 
 
 def customer_postings(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,11 +203,9 @@ def norm_code(spark, sf):
 @query
 def salary_mid(spark, sf):
     df = order_postings(spark, sf)
-    return df.select(
-        "posting_no",
-        midpoint_of(df, "salary_from", "salary_to").alias("salary_mid"),
-        midpoint_of(df, "salary_from", "no_such_column").alias("only_from"),
-    )
+    both = projection.with_midpoint(df)
+    one = projection.with_midpoint(both, high="no_such_column", name="only_from")
+    return one.select("posting_no", "salary_mid", "only_from")
 
 
 @query

@@ -10,34 +10,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievemart.functions.typed import is_numeric, null_of
+from sievemart.functions.typed import is_numeric
 
 # What counts as part of a number, and what a number looks like.
 NOISE = r"[^0-9,.\-]"
-WHOLE_NUMBER_TEXT = r"^-?\d+(\.\d+)?$"
+WHOLE_NUMBER = r"^(-?\d+(\.\d+)?)$"
 FIRST_NUMBER = r"(-?\d+(?:\.\d+)?)"
 DIGITS_ONLY = r"^\s*\d+\s*$"
 PARSEABLE = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
 
 
-def _digits_and_points(name: str) -> Column:
-    return F.translate(F.regexp_replace(F.col(name), NOISE, ""), ",", ".")
+def _extracted(name: str, pattern: str) -> Column:
+    """The part of the text without noise that the pattern finds, as a double.
+
+    Nothing found is an empty text, which casts to NULL; so the patterns run once
+    per row, with no test in front of the cast.
+    """
+    text = F.translate(F.regexp_replace(F.col(name), NOISE, ""), ",", ".")
+    return F.regexp_extract(text, pattern, 1).try_cast("double")
 
 
 def strict_number(df: DataFrame, name: str) -> Column:
     """A double only if what is left without noise is one whole number."""
     if is_numeric(df, name):
         return F.col(name).cast("double")
-    text = _digits_and_points(name)
-    return F.when(text.rlike(WHOLE_NUMBER_TEXT), text.try_cast("double"))
+    return _extracted(name, WHOLE_NUMBER)
 
 
 def lenient_number(df: DataFrame, name: str) -> Column:
     """The first number found in the text without noise, or NULL."""
     if is_numeric(df, name):
         return F.col(name).cast("double")
-    token = F.regexp_extract(_digits_and_points(name), FIRST_NUMBER, 1)
-    return F.nullif(token, F.lit("")).try_cast("double")
+    return _extracted(name, FIRST_NUMBER)
 
 
 def coerce_number(df: DataFrame, name: str) -> Column:
@@ -65,12 +69,3 @@ def zero_if_null(value: Column) -> Column:
 def midpoint(low: Column, high: Column) -> Column:
     """Mean of both ends, or the one end there is, or NULL."""
     return F.coalesce((low + high) / 2, low, high)
-
-
-def midpoint_of(df: DataFrame, low: str, high: str) -> Column:
-    """``midpoint`` of two dirty columns, either of which may be missing."""
-    ends = [
-        lenient_number(df, name) if name in df.columns else null_of("double")
-        for name in (low, high)
-    ]
-    return midpoint(*ends)

@@ -22,12 +22,14 @@ def group_count(df: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def group_mean(df: DataFrame, key: str, value: str, count_name: str, mean_name: str) -> DataFrame:
-    """Rows with a value, and the mean of the value, per key."""
-    return (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias(count_name), F.avg(value).alias(mean_name))
-    )
+    """Rows with a value, and the mean of the value, per key that has any.
+
+    Both aggregates pass over NULLs, so keys without a value are dropped after
+    the rollup.  A filter before it would be pushed below the projection that
+    parses the value, and the text would be parsed once more.
+    """
+    means = df.groupBy(key).agg(F.count(value).alias(count_name), F.avg(value).alias(mean_name))
+    return means.filter(F.col(count_name) > 0)
 
 
 def having_at_least(df: DataFrame, count_name: str, rows: int) -> DataFrame:
@@ -88,10 +90,9 @@ def exact_percentile(
     key, and the result is exact.
     """
     counted = (
-        df.filter(F.col(value).isNotNull())
-        .select(F.col(key).alias("_key"), F.col(value).alias("_value"))
+        df.select(F.col(key).alias("_key"), F.col(value).alias("_value"))
         .groupBy("_key", "_value")
-        .agg(F.count("*").alias("_rows"))
+        .agg(F.count("_value").alias("_rows"))  # a NULL value weighs nothing
     )
     ranged = range_split(counted, [F.col("_key"), F.col("_value")])
 
@@ -133,20 +134,24 @@ def group_profile(
     """
     if key not in df.columns:
         raise ValueError(f"the profile needs the column {key!r}")
-    rows = df.filter(F.col(value).isNotNull() & F.col(key).isNotNull())
-    share = three_state_flag(rows, flag) if flag in df.columns else null_of("double")
+    keyed = df.filter(F.col(key).isNotNull())
+    # Aggregates skip NULLs, so rows without a value are left out by blanking the
+    # other measures; see group_mean for why they are not filtered.
+    has_value = F.col(value).isNotNull()
+    share = three_state_flag(df, flag) if flag in df.columns else null_of("double")
     measures = [
         F.avg(value).alias("avg_salary"),
-        F.count("*").alias("vac_count"),
-        F.avg(share).alias("test_share"),
+        F.count(value).alias("vac_count"),
+        F.avg(F.when(has_value, share)).alias("test_share"),
     ]
     if not exact_median:
         measures.append(F.percentile_approx(value, 0.5, accuracy).alias("median_salary"))
-    profile = rows.groupBy(key).agg(*measures)
+    profile = keyed.groupBy(key).agg(*measures).filter("vac_count > 0")
     if exact_median:
-        profile = profile.join(exact_percentile(rows, key, value, 0.5, "median_salary"), key)
+        profile = profile.join(exact_percentile(keyed, key, value, 0.5, "median_salary"), key)
     if item in df.columns:
-        distinct = rows.groupBy(key).agg(F.count_distinct(item).alias("vac_distinct"))
+        valued = F.when(has_value, F.col(item))
+        distinct = keyed.groupBy(key).agg(F.count_distinct(valued).alias("vac_distinct"))
         profile = profile.join(distinct, key)
     else:
         profile = profile.withColumn("vac_distinct", null_of("bigint"))

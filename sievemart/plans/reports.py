@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemart.functions import any_flag, lenient_number, norm_code
-from sievemart.functions.numbers import midpoint_of
 from sievemart.operators.grouping import (
     flag_totals,
     group_count,
@@ -16,7 +15,7 @@ from sievemart.operators.grouping import (
     having_at_least,
 )
 from sievemart.operators.ordering import top_k
-from sievemart.operators.projection import with_ratio
+from sievemart.operators.projection import with_midpoint, with_ratio
 from sievemart.sources.files import (
     SHARE_REPORT_ROWS,
     TOP_REPORT_ROWS,
@@ -119,12 +118,14 @@ def salary_mart(df: DataFrame, rates: Mapping[str, float] | None = None) -> Data
     code then add nothing to the mean.  Without rates amounts are taken as they
     are.  The rates become a literal map, so there is no join.
     """
-    middle = midpoint_of(df, "salary_from", "salary_to")
-    rows = df.withColumn("_mid", middle).filter(F.col("_mid").isNotNull())
-    amount = F.col("_mid")
+    amount = F.col("salary_mid")
     if rates is not None:
         pairs = [F.lit(x) for code, rate in rates.items() for x in (code, float(rate))]
         amount = amount * F.try_element_at(F.create_map(*pairs), norm_code("salary_currency"))
-    return rows.groupBy("area_name").agg(
-        F.count("*").alias("vacancies_with_salary"), F.avg(amount).alias("avg_rub")
+    return (
+        with_midpoint(df)
+        .withColumn("_amount", amount)
+        .groupBy("area_name")
+        .agg(F.count("salary_mid").alias("vacancies_with_salary"), F.avg("_amount").alias("avg_rub"))
+        .filter("vacancies_with_salary > 0")
     )

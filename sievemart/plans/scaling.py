@@ -9,8 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievemart.functions.numbers import midpoint_of
 from sievemart.operators.grouping import group_profile
+from sievemart.operators.projection import with_midpoint
 from sievemart.operators.replicate import replicate_rows
 
 # The sweep.
@@ -20,10 +20,6 @@ REPEATS = 3
 RUN_SCHEMA = "multiplier int, rows long, seconds double"
 
 
-def with_midpoint(df: DataFrame) -> DataFrame:
-    return df.withColumn("salary_mid", midpoint_of(df, "salary_from", "salary_to"))
-
-
 def run_once(df: DataFrame) -> float:
     """Seconds to compute every column of ``df``.
 

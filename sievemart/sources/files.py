@@ -11,7 +11,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
-BOM = "﻿"
+NO_TEXT = "\0"  # a null marker that no field holds
+BOM = "\ufeff"
 
 # Row caps of the written reports.
 REPORT_ROWS = 50_000
@@ -44,6 +45,7 @@ def read_csv(
     schema: StructType | None = None,
     infer: bool = False,
     multi_line: bool = True,
+    keep_empty: bool = False,
 ) -> DataFrame:
     """A CSV with a header, quoted line breaks and doubled quotes.
 
@@ -51,7 +53,9 @@ def read_csv(
     costs a pass over the data.  A file that may hold quoted line breaks cannot
     be split: Spark reads one file per task, so large inputs should come as many
     files.  With ``multi_line=False`` files are split, for data known to have
-    one record per line.  A missing path raises ``AnalysisException``.
+    one record per line.  An empty field is NULL, quoted or not; with
+    ``keep_empty`` a quoted one is an empty text.  A missing path raises
+    ``AnalysisException``.
     """
     reader = (
         spark.read.option("header", True)
@@ -59,6 +63,8 @@ def read_csv(
         .option("quote", '"')
         .option("escape", '"')
     )
+    if keep_empty:
+        reader = reader.option("nullValue", NO_TEXT)
     if schema is not None:
         # Columns go by position; this makes Spark compare them with the header.
         return reader.option("enforceSchema", False).schema(schema).csv(path)
@@ -78,12 +84,14 @@ def write_stage(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """A whole table as CSV files that ``read_csv`` reads back unchanged."""
+    """A whole table as CSV files; ``read_csv`` with ``keep_empty`` gives it back."""
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 

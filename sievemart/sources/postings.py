@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sievemart.operators.projection import spread_scan
+
 # Columns that need the orders table only.
 _ORDER_COLUMNS = """
   o_orderkey AS posting_no,
@@ -78,7 +80,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def order_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The postings columns that come from ``orders`` alone (no join)."""
-    return spark.sql(ORDER_POSTINGS_SQL, orders=read_table(spark, sf_dir, "orders"))
+    return spark.sql(ORDER_POSTINGS_SQL, orders=spread_scan(read_table(spark, sf_dir, "orders")))
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +91,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     return spark.sql(
         POSTINGS_SQL,
-        orders=read_table(spark, sf_dir, "orders"),
+        orders=spread_scan(read_table(spark, sf_dir, "orders")),
         customer=read_table(spark, sf_dir, "customer"),
         nation=read_table(spark, sf_dir, "nation"),
     )
