@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from sievemart.plans.model import run_model
-from sievemart.plans.reports import clean_leniently, run_reports
+from sievemart.plans.reports import clean_leniently, run_reports, salary_mart
 from sievemart.plans.scaling import MULTIPLIERS, REPEATS, scaling_runs, summarise_runs
 from sievemart.plans.stage import run_stage
-from sievemart.sources.files import read_stage, write_report
+from sievemart.sources import catalog
+from sievemart.sources.files import read_csv, read_stage, write_report
+
+
+def publish_tables(
+    raw: DataFrame,
+    stage: DataFrame,
+    database: str | None = None,
+    rates: Mapping[str, float] | None = None,
+) -> None:
+    """The three catalog tables that the SQL reports read."""
+    catalog.save_table(raw, catalog.RAW, database)
+    catalog.save_table(stage, catalog.CLEAN, database)
+    catalog.save_table(salary_mart(stage, rates), catalog.MART, database)
 
 
 def run_job(
@@ -19,14 +32,19 @@ def run_job(
     out_dir: str,
     multipliers: Iterable[int] = MULTIPLIERS,
     repeats: int = REPEATS,
+    database: str | None = None,
+    rates: Mapping[str, float] | None = None,
 ) -> None:
     """Stage, then reports and model, then the scaling sweep.
 
-    Steps hand over through Parquet.  The first error ends the job and is raised.
+    Steps hand over through Parquet.  With a ``database`` the tables of the SQL
+    reports are saved there too.  The first error ends the job and is raised.
     """
     stage_path = f"{out_dir}/stage"
     run_stage(spark, raw_csv, stage_path)
     stage = read_stage(spark, stage_path)
+    if database:
+        publish_tables(read_csv(spark, raw_csv), stage, database, rates)
     run_reports(stage, f"{out_dir}/reports")
     run_model(clean_leniently(stage), f"{out_dir}/reports/ml_results")
     summary = summarise_runs(scaling_runs(stage, multipliers, repeats))

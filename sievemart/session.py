@@ -12,20 +12,20 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names.
 
-    Only where none is named and Spark runs in local mode, as in tests, is a
-    temporary folder made; on a cluster such a folder would not be shared.
+    Where none is named, a folder beside the warehouse, which executors share;
+    in local mode, as in tests, a temporary folder.
     """
     context = spark.sparkContext
-    named = context.getConf().get(CHECKPOINT_DIR) or spark.conf.get(CHECKPOINT_DIR, None)
     current = context.getCheckpointDir()
-    if named:
-        if current is None:
-            context.setCheckpointDir(named)
-        return named
-    if current is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="sievemart-"))
+    if current is not None:
+        return current
+    folder = context.getConf().get(CHECKPOINT_DIR) or spark.conf.get(CHECKPOINT_DIR, None)
+    if not folder:
+        if context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="sievemart-")
+        else:
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+    context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 

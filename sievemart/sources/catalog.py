@@ -75,26 +75,41 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}" if database else "SHOW TABLES")
 
 
-def run_sql(spark: SparkSession, text: str, args: Mapping[str, Any] | None = None) -> DataFrame:
-    """Any SQL text over catalog tables, with values bound by name."""
-    return spark.sql(text, args=dict(args or {}))
+def run_sql(
+    spark: SparkSession,
+    text: str,
+    args: Mapping[str, Any] | None = None,
+    database: str | None = None,
+) -> DataFrame:
+    """Any SQL text over catalog tables, with values bound by name.
+
+    Bare table names are looked up in ``database`` if one is given.  The names are
+    resolved when the text is read, so the session's own choice is put back.
+    """
+    previous = spark.catalog.currentDatabase()
+    if database:
+        spark.catalog.setCurrentDatabase(database)
+    try:
+        return spark.sql(text, args=dict(args or {}))
+    finally:
+        spark.catalog.setCurrentDatabase(previous)
 
 
-def top_areas(spark: SparkSession, rows: int = 20) -> DataFrame:
-    return run_sql(spark, TOP_AREAS_SQL, {"rows": rows})
+def top_areas(spark: SparkSession, rows: int = 20, database: str | None = None) -> DataFrame:
+    return run_sql(spark, TOP_AREAS_SQL, {"rows": rows}, database)
 
 
-def top_cities(spark: SparkSession, rows: int = 30) -> DataFrame:
-    return run_sql(spark, TOP_CITIES_SQL, {"rows": rows})
+def top_cities(spark: SparkSession, rows: int = 30, database: str | None = None) -> DataFrame:
+    return run_sql(spark, TOP_CITIES_SQL, {"rows": rows}, database)
 
 
-def mart_rows(spark: SparkSession, rows: int = 30) -> DataFrame:
-    return run_sql(spark, MART_ROWS_SQL, {"rows": rows})
+def mart_rows(spark: SparkSession, rows: int = 30, database: str | None = None) -> DataFrame:
+    return run_sql(spark, MART_ROWS_SQL, {"rows": rows}, database)
 
 
-def city_salaries(spark: SparkSession, rows: int = 30) -> DataFrame:
-    return run_sql(spark, CITY_SALARY_SQL, {"rows": rows})
+def city_salaries(spark: SparkSession, rows: int = 30, database: str | None = None) -> DataFrame:
+    return run_sql(spark, CITY_SALARY_SQL, {"rows": rows}, database)
 
 
-def flag_counts(spark: SparkSession) -> DataFrame:
-    return run_sql(spark, FLAG_COUNT_SQL, {"yes": WITH_TEST, "no": WITHOUT_TEST})
+def flag_counts(spark: SparkSession, database: str | None = None) -> DataFrame:
+    return run_sql(spark, FLAG_COUNT_SQL, {"yes": WITH_TEST, "no": WITHOUT_TEST}, database)

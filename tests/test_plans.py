@@ -224,11 +224,28 @@ def test_model_without_optional_columns(spark, tmp_path):
 
 
 def test_whole_job(spark, tmp_path):
-    files.write_csv(postings(spark, SF).drop("test_required"), str(tmp_path / "raw"))
-    job.run_job(spark, str(tmp_path / "raw"), str(tmp_path / "out"), multipliers=(1, 2), repeats=1)
+    raw = postings(spark, SF)
+    files.write_csv(raw, str(tmp_path / "raw"))
+    job.run_job(
+        spark, str(tmp_path / "raw"), str(tmp_path / "out"), multipliers=(1, 2), repeats=1, database="jobs"
+    )
     made = {p.name for p in (tmp_path / "out" / "reports").iterdir()}
     assert made == {"top_cities", "salary_by_city", "test_share", "ml_results", "scalability_results"}
 
+    before = spark.catalog.currentDatabase()
+    staged = files.read_stage(spark, str(tmp_path / "out" / "stage"))
+    areas = catalog.top_cities(spark, database="jobs").collect()
+    assert [r.vacancies for r in areas] == [
+        r.n for r in staged.groupBy("area_name").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(30).collect()
+    ]
+    assert {r.test_flag: r.cnt for r in catalog.flag_counts(spark, "jobs").collect()} == {
+        catalog.WITH_TEST: raw.filter("lower(test_required) = 'true'").count(),
+        catalog.WITHOUT_TEST: raw.filter("lower(test_required) <> 'true' OR test_required IS NULL").count(),
+    }
+    assert catalog.city_salaries(spark, database="jobs").columns == ["city", "vacancies_with_salary", "avg_rub"]
+    assert catalog.mart_rows(spark, 3, "jobs").count() == 3
+    assert spark.catalog.currentDatabase() == before
+
 
 def test_partitioning_and_caching(spark):
     df = spark.range(100).repartition(4).cache()
