@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sievemart.functions import three_state_flag
 from sievemart.functions.typed import null_of
 from sievemart.operators.ordering import RANGE, range_split
+from sievemart.session import cut_lineage
 
 # Accuracy of the approximate median: its rank is off by at most rows / accuracy.
 MEDIAN_ACCURACY = 10_000
@@ -105,12 +106,15 @@ def exact_percentile(
         .filter(F.col("_rank").between(1, F.col("_in_range")))
         .select(F.col("_key").alias("_wanted_key"), F.col(RANGE).alias("_wanted_range"), "_rank")
     )
+    # One row per key.  Once written its size is known, so Spark broadcasts it if
+    # it is small, and otherwise joins by shuffle.
     found = ranged.join(
-        wanted,
+        cut_lineage(wanted),
         (F.col(RANGE) == F.col("_wanted_range")) & F.col("_key").eqNullSafe(F.col("_wanted_key")),
     )
+    upto_here = of_key.orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        found.withColumn("_seen", F.sum("_rows").over(of_key.orderBy("_value")))
+        found.withColumn("_seen", F.sum("_rows").over(upto_here))
         .filter(F.col("_rank").between(F.col("_seen") - F.col("_rows") + 1, F.col("_seen")))
         .select(F.col("_key").alias(key), F.col("_value").alias(name))
     )

@@ -25,8 +25,8 @@ def largest_ascending(df: DataFrame, k: int, by: str, tie_break: str) -> DataFra
 def range_split(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """``df`` cut into ordered ranges of about equal size, numbered in ``_range``.
 
-    The result is a checkpoint: the cut points come from a sample, so the
-    numbers must be written down once before two later steps may share them.
+    The result is written to the checkpoint folder: the cut points come from a
+    sample, so the numbers must be fixed before two later steps may share them.
     """
     ranged = df.repartitionByRange(*order)
     return cut_lineage(ranged.withColumn(RANGE, F.spark_partition_id()))
@@ -56,8 +56,10 @@ def running_totals(
     within = (
         Window.partitionBy(RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
+    # Hashing so few range numbers would put several ranges into one task.
     return (
-        ranged.join(F.broadcast(lifts), RANGE)
+        ranged.repartitionByRange(RANGE)
+        .join(F.broadcast(lifts), RANGE)
         .withColumns(
             {
                 new: F.col(f"_before_{new}") + F.sum(source).over(within)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` as a reliable checkpoint: later steps read it, never recompute it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """``df`` written once to the checkpoint folder, and read back from there.
+
+    Later steps read the files and never recompute what led to them, also after
+    the loss of an executor.  A Parquet table rather than ``checkpoint()``: each
+    later step reads only the columns it needs.  The cluster's retention of the
+    folder removes the files, as it does for checkpoints.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
