@@ -106,7 +106,6 @@ def main() -> None:
         for m in MULTIPLIERS:
             sweep[f"x{m}"] = {
                 "profile": timed(lambda m=m: group_profile(volume(m))),
-                "exact_median": timed(lambda m=m: group_profile(volume(m), exact_median=True)),
                 "three_rollups_two_joins": timed(lambda m=m: joined_profile(volume(m))),
             }
             times[f"profile_x{m}"] = sweep[f"x{m}"]["profile"]

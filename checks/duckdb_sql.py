@@ -11,7 +11,7 @@ ORDER_POSTINGS = f"op AS ({ORDER_POSTINGS_SQL.format(**_TABLES)})"
 POSTINGS = f"p AS ({POSTINGS_SQL.format(**_TABLES)})"
 CUSTOMER_POSTINGS = """c AS (
   SELECT n_name AS area_name,
-         CASE WHEN c_custkey % 7 NOT IN (0, 3, 5) THEN c_acctbal END AS salary_from
+         CASE WHEN c_custkey % 7 NOT IN (0, 3, 5) THEN floor(c_acctbal * 4) / 4 END AS salary_from
   FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
 
 
@@ -95,7 +95,7 @@ _RATE = " ".join(f"WHEN '{c}' THEN {r}" for c, r in RATES.items())
 
 def mart(amount: str) -> str:
     return f"""{MID_ROWS}, m AS (
-  SELECT area_name, count(*) AS vacancies_with_salary, round(avg({amount}), 4) AS avg_rub
+  SELECT area_name, count(*) AS vacancies_with_salary, avg({amount}) AS avg_rub
   FROM d WHERE salary_mid IS NOT NULL GROUP BY area_name)"""
 
 
@@ -105,9 +105,9 @@ _DISTINCT = "count(*) AS vac_count, count(DISTINCT id) AS vac_distinct"
 
 
 def profile(rows: str, distinct: str = "count(DISTINCT id)", share: str | None = None) -> str:
-    share = share or f"round(avg({three_states('test_required')}), 4)"
+    share = share or f"avg({three_states('test_required')})"
     return f"""
-  SELECT area_name, round(avg(salary_mid), 4) AS avg_salary,
+  SELECT area_name, avg(salary_mid) AS avg_salary,
     quantile_disc(salary_mid, 0.5) AS median_salary, count(*) AS vac_count,
     {distinct} AS vac_distinct, {share} AS test_share
   FROM {rows} WHERE salary_mid IS NOT NULL AND area_name IS NOT NULL
@@ -115,7 +115,7 @@ def profile(rows: str, distinct: str = "count(DISTINCT id)", share: str | None =
 
 
 _HAVING = f"""
-  SELECT area_name, count(*) AS with_salary, round(avg(salary_from), 4) AS avg_salary_from
+  SELECT area_name, count(*) AS with_salary, avg(salary_from) AS avg_salary_from
   FROM c WHERE salary_from IS NOT NULL GROUP BY area_name HAVING count(*) >= 30"""
 
 _CITY_COUNT = """
@@ -138,9 +138,8 @@ def auc(rows: str, label_column: str, score: str) -> str:
       rank() OVER (ORDER BY {score})
         + (count(*) OVER (PARTITION BY {score}) - 1) / 2.0 AS midrank
     FROM {rows})
-  SELECT round((sum(midrank) FILTER (WHERE y = 1)
-      - sum(y)::DOUBLE * (sum(y) + 1) / 2)
-      / (sum(y)::DOUBLE * (count(*) - sum(y))), 9) AS auc
+  SELECT (sum(midrank) FILTER (WHERE y = 1) - sum(y)::DOUBLE * (sum(y) + 1) / 2)
+      / (sum(y)::DOUBLE * (count(*) - sum(y))) AS auc
   FROM r"""
 
 
@@ -215,20 +214,20 @@ def all_sql() -> dict[str, str]:
         "having_rows": f"{c} {_HAVING}",
         "global_share": f"{op} SELECT count(*) AS total, sum(f)::BIGINT AS with_test,"
         f" sum(f)::DOUBLE / count(*) AS share FROM (SELECT {many_words('test_required')} AS f FROM op)",
-        "avg_median": f"{d} SELECT area_name, round(avg(salary_mid), 4) AS avg_salary,"
+        "avg_median": f"{d} SELECT area_name, avg(salary_mid) AS avg_salary,"
         " quantile_disc(salary_mid, 0.5) AS median_salary FROM d GROUP BY area_name",
         "median_exact": f"{d} SELECT area_name, quantile_disc(salary_mid, 0.5) AS median_salary"
         " FROM d WHERE salary_mid IS NOT NULL GROUP BY area_name",
         "median_exact_many_groups": "SELECT l_partkey, quantile_disc(l_extendedprice, 0.5) AS median_price"
         " FROM lineitem GROUP BY l_partkey",
         "count_distinct": f"{p} SELECT area_name, {_DISTINCT} FROM p GROUP BY area_name",
-        "group_share": f"{p} SELECT area_name, round(avg({three_states('test_required')}), 4) AS test_share"
+        "group_share": f"{p} SELECT area_name, avg({three_states('test_required')}) AS test_share"
         " FROM p GROUP BY area_name",
         "group_by_case": f"{op} SELECT {label('test_required')} AS test_flag, count(*) AS cnt FROM op GROUP BY 1",
         "const_per_group": f"{p} SELECT area_name, NULL::DOUBLE AS test_share FROM p GROUP BY area_name",
         "salary_mart": f"WITH {mart('salary_mid')} SELECT * FROM m",
         "salary_mart_rates": f"WITH {RATED_MART} SELECT * FROM m",
-        "join_inner": f"{d}, a AS (SELECT area_name, count(*) AS n, round(avg(salary_mid), 4) AS avg_salary"
+        "join_inner": f"{d}, a AS (SELECT area_name, count(*) AS n, avg(salary_mid) AS avg_salary"
         f" FROM d WHERE salary_mid IS NOT NULL GROUP BY area_name), b AS (SELECT area_name, {_DISTINCT}"
         " FROM d GROUP BY area_name) SELECT * FROM a JOIN b USING (area_name)",
         "join_left": f"{c}, a AS (SELECT area_name, count(*) AS vacancies FROM c GROUP BY area_name),"
@@ -253,7 +252,7 @@ def all_sql() -> dict[str, str]:
         "report_top_cities": f"{s} SELECT area_name, count(*) AS vacancies FROM s GROUP BY area_name"
         " ORDER BY vacancies DESC, area_name NULLS FIRST LIMIT 20",
         "report_salary_by_city": f"{s} SELECT area_name, count(*) AS with_salary,"
-        " round(avg(salary_from), 4) AS avg_salary_from FROM s WHERE salary_from IS NOT NULL"
+        " avg(salary_from) AS avg_salary_from FROM s WHERE salary_from IS NOT NULL"
         " GROUP BY area_name HAVING count(*) >= 30 ORDER BY avg(salary_from) DESC, area_name NULLS FIRST LIMIT 30",
         "report_test_share": f"{s} SELECT count(*) AS total, sum(has_test)::BIGINT AS with_test,"
         " sum(has_test)::DOUBLE / count(*) AS share FROM s",

@@ -17,6 +17,9 @@ from sievemart.session import cut_lineage
 # Accuracy of the approximate median: its rank is off by at most rows / accuracy.
 MEDIAN_ACCURACY = 10_000
 
+# How many such errors a bracket reaches to either side of the wanted rank.
+BRACKET_ERRORS = 4
+
 
 def group_count(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias(name))
@@ -84,40 +87,81 @@ def exact_percentile(
 ) -> DataFrame:
     """Per key, the least value that at least ``share`` of its rows do not exceed.
 
-    Holds for groups of any size: rows are first counted per (key, value); those
-    counts are cut into ranges over (key, value), so a hot key covers many
-    ranges; the range that holds the wanted row is found from the range totals,
-    and only that one is searched.  No task sees more than about one range per
-    key, and the result is exact.
+    Exact for groups of any size.  A first pass takes from a sketch, per key, two
+    values that enclose the wanted one; a second counts the rows below them and
+    keeps the values between them, about one in a thousand.  Only those are put
+    in order, and in ranges, so that a hot key covers many tasks.
     """
+    rows = df.select(F.col(key).alias("_key"), F.col(value).alias("_value"))
+    margin = BRACKET_ERRORS / MEDIAN_ACCURACY
+    ends = [max(share - margin, 0.0), min(share + margin, 1.0)]
+    # One row per key.  Once written its size is known, so Spark broadcasts it if
+    # it is small, and otherwise joins by shuffle.
+    brackets = cut_lineage(
+        rows.groupBy("_key")
+        .agg(
+            F.percentile_approx("_value", ends, MEDIAN_ACCURACY).alias("_ends"),
+            F.count("_value").alias("_total"),
+        )
+        .filter("_total > 0")
+        .select(
+            F.col("_key").alias("_bracket_key"),
+            F.col("_ends")[0].alias("_low"),
+            F.col("_ends")[1].alias("_high"),
+            F.greatest(F.ceil(F.col("_total") * F.lit(share)), F.lit(1)).alias("_rank"),
+        )
+    )
+    found, missed = _search_brackets(rows, brackets)
+    # The sketch's error bound leaves none out; if it ever did, the keys concerned
+    # would be searched without a bracket.
+    if not missed.isEmpty():
+        nothing = F.lit(None).cast(rows.schema["_value"].dataType)
+        rest, _ = _search_brackets(rows, missed.withColumns({"_low": nothing, "_high": nothing}))
+        found = found.unionByName(rest)
+    return found.select(F.col("_key").alias(key), F.col("_value").alias(name))
+
+
+def _search_brackets(rows: DataFrame, brackets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The value of the wanted rank per key, and the brackets that do not hold it."""
+    upto_high = F.coalesce(F.col("_value") <= F.col("_high"), F.col("_value").isNotNull())
+    inside = upto_high & F.coalesce(F.col("_value") >= F.col("_low"), F.lit(True))
+    # Rows below the bracket share one NULL value per key, combined before the shuffle.
     counted = (
-        df.select(F.col(key).alias("_key"), F.col(value).alias("_value"))
-        .groupBy("_key", "_value")
-        .agg(F.count("_value").alias("_rows"))  # a NULL value weighs nothing
+        rows.join(brackets, F.col("_key").eqNullSafe(F.col("_bracket_key")))
+        .groupBy("_key", F.when(inside, F.col("_value")).alias("_value"))
+        .agg(F.count_if(upto_high).alias("_rows"), F.max("_rank").alias("_rank"))
     )
     ranged = range_split(counted, [F.col("_key"), F.col("_value")])
 
     of_key = Window.partitionBy("_key")
-    per_range = ranged.groupBy("_key", RANGE).agg(F.sum("_rows").alias("_in_range"))
-    wanted = (
-        per_range.withColumn("_upto", F.sum("_in_range").over(of_key.orderBy(RANGE)))
-        .withColumn("_rank", F.ceil(F.sum("_in_range").over(of_key) * F.lit(share)))
-        .withColumn("_rank", F.greatest("_rank", F.lit(1)) - F.col("_upto") + F.col("_in_range"))
-        .filter(F.col("_rank").between(1, F.col("_in_range")))
-        .select(F.col("_key").alias("_wanted_key"), F.col(RANGE).alias("_wanted_range"), "_rank")
+    is_below = F.col("_value").isNull()
+    per_range = ranged.groupBy("_key", RANGE).agg(
+        F.sum(F.when(is_below, F.col("_rows")).otherwise(0)).alias("_below"),
+        F.sum(F.when(is_below, 0).otherwise(F.col("_rows"))).alias("_in_range"),
+        F.max("_rank").alias("_rank"),
     )
-    # One row per key.  Once written its size is known, so Spark broadcasts it if
-    # it is small, and otherwise joins by shuffle.
-    found = ranged.join(
-        cut_lineage(wanted),
-        (F.col(RANGE) == F.col("_wanted_range")) & F.col("_key").eqNullSafe(F.col("_wanted_key")),
+    earlier = F.sum("_in_range").over(of_key.orderBy(RANGE)) - F.col("_in_range")
+    wanted = cut_lineage(
+        per_range.withColumn(
+            "_place", F.col("_rank") - F.sum("_below").over(of_key) - earlier
+        )
+        .filter(F.col("_place").between(1, F.col("_in_range")))
+        .select(F.col("_key").alias("_wanted_key"), F.col(RANGE).alias("_wanted_range"), "_place")
     )
     upto_here = of_key.orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        found.withColumn("_seen", F.sum("_rows").over(upto_here))
-        .filter(F.col("_rank").between(F.col("_seen") - F.col("_rows") + 1, F.col("_seen")))
-        .select(F.col("_key").alias(key), F.col("_value").alias(name))
+    found = (
+        ranged.filter(~is_below)
+        .join(
+            wanted,
+            (F.col(RANGE) == F.col("_wanted_range"))
+            & F.col("_key").eqNullSafe(F.col("_wanted_key")),
+        )
+        .withColumn("_seen", F.sum("_rows").over(upto_here))
+        .filter(F.col("_place").between(F.col("_seen") - F.col("_rows") + 1, F.col("_seen")))
+        .select("_key", "_value")
     )
+    same_key = F.col("_bracket_key").eqNullSafe(F.col("_wanted_key"))
+    return found, brackets.join(wanted, same_key, "left_anti")
 
 
 def group_profile(

@@ -6,6 +6,8 @@ are dirty.  No such table is at hand, so one is derived, row for row, from
 DuckDB read alike; the checks in ``__spark_entry__`` run the same text on both.
 
 The remainder rules spread dirty spellings over *all* orders; they drop no row.
+Amounts are in steps of a quarter: sums of such doubles are exact in any order,
+so that means can be compared between engines bit for bit, without rounding.
 """
 
 from __future__ import annotations
@@ -23,12 +25,12 @@ _ORDER_COLUMNS = """
   CASE o_orderkey % 7
     WHEN 0 THEN NULL
     WHEN 1 THEN 'от ' || CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRING) || ' руб.'
-    WHEN 2 THEN replace(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING), '.', ',')
+    WHEN 2 THEN replace(CAST(CAST(floor(o_totalprice * 4) / 4 AS DECIMAL(18,2)) AS STRING), '.', ',')
     WHEN 3 THEN ''
     WHEN 4 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRING) || '-'
                 || CAST(CAST(floor(o_totalprice) AS BIGINT) + 500 AS STRING)
     WHEN 5 THEN 'n/a'
-    ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) END AS salary_from,
+    ELSE CAST(CAST(floor(o_totalprice * 4) / 4 AS DECIMAL(18,2)) AS STRING) END AS salary_from,
   CASE o_orderkey % 5
     WHEN 0 THEN NULL
     WHEN 1 THEN 'до ' || CAST(CAST(floor(o_totalprice) AS BIGINT) + 900 AS STRING)

@@ -115,6 +115,22 @@ def test_exact_percentile_by_hand(skewed, share):
     assert as_set(grouping.exact_percentile(df, "area_name", "salary_mid", share, "p")) == expected
 
 
+def test_exact_percentile_outside_its_bracket(skewed, monkeypatch):
+    df, _ = skewed
+    right = as_set(grouping.exact_percentile(df, "area_name", "salary_mid", 0.5, "p"))
+    for errors in (-3000, 3000):  # brackets that hold no value, and nearly all of them
+        monkeypatch.setattr(grouping, "BRACKET_ERRORS", errors)
+        assert as_set(grouping.exact_percentile(df, "area_name", "salary_mid", 0.5, "p")) == right
+
+
+@pytest.mark.parametrize("type_name", ["int", "decimal(10,2)"])
+def test_exact_percentile_of_other_types(spark, type_name):
+    df = spark.range(1001).select(F.lit("a").alias("k"), F.col("id").cast(type_name).alias("v"))
+    found = grouping.exact_percentile(df, "k", "v", 0.5, "p")
+    assert dict(found.dtypes)["p"] == type_name
+    assert int(found.first().p) == 500
+
+
 def test_exact_percentile_of_groups_without_values(spark):
     df = spark.createDataFrame([("a", None), ("a", None), ("b", 1.0)], "k string, v double")
     assert as_set(grouping.exact_percentile(df, "k", "v", 0.5, "p")) == {("b", 1.0)}
