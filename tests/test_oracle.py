@@ -51,7 +51,7 @@ def test_same_as_sql(spark, duck, name):
 
 
 def test_only_the_fit_has_no_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"logreg_predictions"}
+    assert set(contract.all_queries()) - set(contract.all_sql()) == {"logreg_predictions"}
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
