@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievemart.llm import quality, url_rules
+from sievemart.llm import packing, quality, token_counts, url_rules
 from sievemart.llm.common import table
 
 
+def op1_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality.quality_report(table(spark, sf_dir, "documents"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -22,6 +30,8 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_two_fit": op1_best_two_fit,
+    "op6_token_counts": op6_token_counts,
     "op8_quality_rules": op8_quality_rules,
     "op10_url_rules": op10_url_rules,
 }
