@@ -5,19 +5,59 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sievemart.llm import packing, quality, token_counts, url_rules
+from sievemart.llm import html_text, packing, quality, sharding, token_counts, url_rules, warc_fixity
 from sievemart.llm.common import table
+from sievemart.session import cut_lineage
 
 
 def op1_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op4_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults between an archive of all pages and a replica damaged by a stated rule.
+
+    The first byte of a page's MD5 decides: 0 to 3 the record's first byte is
+    other, 4 to 7 the record is missing, 8 to 11 its last byte is.
+    """
+    pages = table(spark, sf_dir, "pages")
+    fault = F.conv(F.substring(F.md5(F.coalesce("html", F.lit(""))), 1, 2), 16, 10).cast("int")
+    whole = cut_lineage(warc_fixity.warc_records(pages.withColumn("fault", fault), extra=["fault"]))
+    damaged = whole.filter(~F.col("fault").between(4, 7)).withColumn(
+        "record",
+        F.when(F.col("fault") < 4, F.expr("concat(X'58', substring(record, 2))"))
+        .when(F.col("fault").between(8, 11), F.expr("substring(record, 1, length(record) - 1)"))
+        .otherwise(F.col("record")),
+    )
+    faults = warc_fixity.merkle_audit(whole, damaged)
+    return faults.join(whole.select("archive", "offset", "page_id"), ["archive", "offset"]).select(
+        "page_id", "kind", "length", "found_length", "digest", "found_digest"
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality.quality_report(table(spark, sf_dir, "documents"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -31,7 +71,10 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_two_fit": op1_best_two_fit,
+    "op2_vector_sharding": op2_vector_sharding,
+    "op4_merkle_fixity": op4_merkle_fixity,
     "op6_token_counts": op6_token_counts,
+    "op7_html_text": op7_html_text,
     "op8_quality_rules": op8_quality_rules,
     "op10_url_rules": op10_url_rules,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sievemart.llm import quality, url_rules
+from sievemart.llm import quality, url_rules, warc_fixity
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -74,7 +74,32 @@ SELECT page_id, host, path, best.rule AS rule, coalesce(best.won, 'allow') AS ve
 FROM parts LEFT JOIN best USING (host, path)"""
 
 
+def _fixity() -> str:
+    head = (
+        "'WARC/1.0' || nl || 'WARC-Type: resource' || nl || 'WARC-Record-ID: <urn:page:'"
+        " || coalesce(page_id::VARCHAR, 'None') || '>' || nl"
+        f" || 'WARC-Date: {warc_fixity.WARC_DATE}' || nl || 'WARC-Target-URI: ' || coalesce(url, '')"
+        " || nl || 'Content-Type: text/html' || nl || 'Content-Length: ' || strlen(body)"
+        " || nl || nl || body || nl || nl"
+    )
+    return f"""
+WITH given AS (
+    SELECT page_id, url, coalesce(html, '') AS body, chr(13) || chr(10) AS nl,
+        ('0x' || left(md5(coalesce(html, '')), 2))::INT AS fault
+    FROM pages),
+records AS (SELECT page_id, fault, {head} AS record FROM given),
+found AS (
+    SELECT *, CASE WHEN fault < 4 THEN 'X' || substring(record, 2)
+        WHEN fault BETWEEN 8 AND 11 THEN left(record, length(record) - 1) END AS other
+    FROM records WHERE fault < 12)
+SELECT page_id, CASE WHEN other IS NULL THEN 'missing' ELSE 'changed' END AS kind,
+    strlen(record)::BIGINT AS length, strlen(other)::BIGINT AS found_length,
+    sha256(record) AS digest, sha256(other) AS found_digest
+FROM found"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_merkle_fixity": _fixity(),
     "op8_quality_rules": _quality(),
     "op10_url_rules": _urls(),
 }
