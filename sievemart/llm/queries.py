@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievemart.llm import html_text, packing, quality, sharding, token_counts, url_rules, warc_fixity
+from sievemart.llm import (
+    html_text,
+    packing,
+    quality,
+    sharding,
+    simhash_dedup,
+    token_counts,
+    url_rules,
+    warc_fixity,
+)
 from sievemart.llm.common import table
 from sievemart.session import cut_lineage
 
@@ -50,6 +59,10 @@ def op4_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -73,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_two_fit": op1_best_two_fit,
     "op2_vector_sharding": op2_vector_sharding,
     "op4_merkle_fixity": op4_merkle_fixity,
+    "op5_simhash_dedup": op5_simhash_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_html_text": op7_html_text,
     "op8_quality_rules": op8_quality_rules,
