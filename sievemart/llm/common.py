@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 # What separates words, as characters and as a pattern.
 SPACES = " \t\n\x0b\x0c\r"
@@ -36,3 +37,9 @@ def ship_code(spark: SparkSession) -> None:
             archive.write(file, file.relative_to(package.parent))
     context.addPyFile(str(target))
     ship_code.sent_to = context.applicationId
+
+
+def schema_of(known: dict[str, DataType], added: StructType | None = None) -> StructType:
+    """The schema of a Python task's output: columns of known types, then added ones."""
+    fields = [StructField(name, kind) for name, kind in known.items()]
+    return StructType(fields + (added.fields if added else []))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemart.llm import (
+    fm_substrings,
     html_text,
     packing,
     quality,
@@ -77,6 +78,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op9_fm_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = fm_substrings.removal_report(table(spark, sf_dir, "documents"))
+    kept = F.sha2("kept", 256).alias("kept_sha256")
+    return report.select("doc_id", "n_words", "n_removed", kept)
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(url_rules.RULES), url_rules.RULE_SCHEMA)
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -90,5 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_html_text": op7_html_text,
     "op8_quality_rules": op8_quality_rules,
+    "op9_fm_substrings": op9_fm_substrings,
     "op10_url_rules": op10_url_rules,
 }

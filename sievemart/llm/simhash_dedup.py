@@ -31,8 +31,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from sievemart.llm.common import ship_code
+from sievemart.llm.common import schema_of, ship_code
 from sievemart.llm.components import components
 from sievemart.session import cut_lineage
 
@@ -77,8 +78,8 @@ def with_fingerprint(rows: DataFrame, text: str, words: int = WORDS, drop_text:
             columns = [batch.column(c) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.int64())], names=[*kept, "_fp"])
 
-    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept)
-    return rows.mapInArrow(add, f"{kinds}, _fp long")
+    schema = schema_of({c: rows.schema[c].dataType for c in kept}, StructType.fromDDL("_fp long"))
+    return rows.mapInArrow(add, schema)
 
 
 def _differ(a: str, b: str) -> Column:

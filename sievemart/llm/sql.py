@@ -53,6 +53,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
+def _substrings() -> str:
+    return f"""
+WITH texts AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(ws[i:i+34], ' ') AS win
+    FROM texts, unnest(range(1, greatest(len(ws) - 33, 1))) AS r(i)),
+again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY win) > 1),
+covered AS (SELECT DISTINCT doc_id, i + k AS i FROM again, unnest(range(0, 35)) AS r(k)),
+gone AS (SELECT doc_id, list(i) AS places FROM covered GROUP BY doc_id),
+left_over AS (
+    SELECT doc_id, len(ws) AS n_words, coalesce(len(places), 0) AS n_removed,
+        CASE WHEN places IS NULL THEN ws
+            ELSE list_filter(ws, lambda w, i: NOT list_contains(places, i)) END AS kept
+    FROM texts LEFT JOIN gone USING (doc_id))
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
+    sha256(array_to_string(kept, ' ')) AS kept_sha256
+FROM left_over"""
+
+
 def _urls() -> str:
     rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_rules.RULES)
     return rf"""
@@ -101,5 +120,6 @@ FROM found"""
 ORACLE_SQL: dict[str, str] = {
     "op4_merkle_fixity": _fixity(),
     "op8_quality_rules": _quality(),
+    "op9_fm_substrings": _substrings(),
     "op10_url_rules": _urls(),
 }
