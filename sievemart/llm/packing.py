@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemart.llm.common import ship_code
-from sievemart.llm.tokens import Encoder, default_vocabulary
+from sievemart.llm.tokens import RankEncoder, default_ranks
 from sievemart.session import cut_lineage
 
 CAPACITY = 2048
@@ -37,22 +37,22 @@ def token_pieces(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    vocabulary: str | None = None,
+    ranks: str | None = None,
     capacity: int = CAPACITY,
     with_ids: bool = False,
 ) -> DataFrame:
     """The pieces of each document: id, piece, start, length, checksum, ids on demand."""
     ship_code(docs.sparkSession)
-    vocabulary = vocabulary or default_vocabulary()
+    ranks = ranks or default_ranks()
     end = END_ID.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.load(vocabulary)
+        encoder = RankEncoder.load(ranks)
         for batch in batches:
             made: list[tuple] = []
             texts = batch.column("text").to_pylist()
-            for row, ids in enumerate(encoder.ids(texts)):
-                ids += end
+            for row, text in enumerate(texts):
+                ids = encoder.ids(text) + end
                 start, width = 0, (len(ids) // 4) % capacity or capacity
                 for piece in range(-(-len(ids) // 4 // capacity)):
                     part = ids[4 * start : 4 * (start + width)]
@@ -169,8 +169,8 @@ def pack_documents(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    vocabulary: str | None = None,
+    ranks: str | None = None,
     capacity: int = CAPACITY,
 ) -> DataFrame:
     """Documents cut into pieces of token ids, and the pieces packed."""
-    return pack_pieces(token_pieces(docs, id_col, text_col, vocabulary, capacity), capacity)
+    return pack_pieces(token_pieces(docs, id_col, text_col, ranks, capacity), capacity)

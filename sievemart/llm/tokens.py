@@ -10,11 +10,11 @@ added token's string, and tokenizers of another kind, are encoded whole.
 
 from __future__ import annotations
 
+import base64
 import json
 import os
 import re
 from array import array
-from collections.abc import Iterable
 
 WORD_START = re.compile(r" (?=\S)")
 OTHER_SPACE = re.compile(r" (?=\s|\Z)")
@@ -58,7 +58,6 @@ class Encoder:
             and parts["model"]["type"] == "BPE"
         )
         self.added = [token["content"] for token in parts.get("added_tokens") or []]
-        self.kept: dict[str, bytes] = {}
 
     @classmethod
     def load(cls, vocabulary: str) -> Encoder:
@@ -74,25 +73,44 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
-    def ids(self, texts: Iterable[str]) -> Iterable[bytes]:
-        """The ids of each text, from this worker's kept chunks where they hold them."""
-        for text in texts:
-            if self.whole_only(text):
-                yield self.encode_all([text])[0]
-                continue
-            first, *rest = chunks(text)
-            kept = self.kept
-            missing = [c for c in set(rest) if c not in kept]
-            if missing:
-                new = dict(zip(missing, self.encode_all([" " + c for c in missing]), strict=True))
-                if len(kept) + len(new) > KEPT_CHUNKS:
-                    kept.clear()
-                    new.update(zip(rest, (new.get(c) for c in rest), strict=True))
-                    lost = [c for c, ids in new.items() if ids is None]
-                    new.update(zip(lost, self.encode_all([" " + c for c in lost]), strict=True))
-                kept.update((c, ids) for c, ids in new.items() if len(c) <= LONG_CHUNK)
-                look = lambda c, new=new: kept.get(c) or new[c]
-                body = map(look, rest)
-            else:
-                body = map(kept.__getitem__, rest)
-            yield self.encode_all([first])[0] + b"".join(body) if first else b"".join(body)
+
+def default_ranks() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+class RankEncoder:
+    """The same ids from the vocabulary's rank file, by the library that reads those.
+
+    It encodes whole texts about four times as fast.  Strings of added tokens
+    inside a text become those tokens, as the other library does by default.
+    """
+
+    _loaded: dict[str, RankEncoder] = {}
+
+    # Fixed value: the added token of the vocabulary.
+    ADDED = {"<|endoftext|>": 50256}
+
+    def __init__(self, ranks: str) -> None:
+        import public_tokenizers
+        import tiktoken
+
+        with open(ranks, "rb") as file:
+            pairs = [line.split() for line in file if line.strip()]
+        self.encoding = tiktoken.Encoding(
+            "ranks",
+            pat_str=public_tokenizers.PATTERN,
+            mergeable_ranks={base64.b64decode(token): int(rank) for token, rank in pairs},
+            special_tokens=self.ADDED,
+        )
+
+    @classmethod
+    def load(cls, ranks: str) -> RankEncoder:
+        if ranks not in cls._loaded:
+            cls._loaded[ranks] = cls(ranks)
+        return cls._loaded[ranks]
+
+    def ids(self, text: str) -> bytes:
+        """The ids of a text as little-endian 32-bit numbers."""
+        return self.encoding.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
