@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemart.llm import (
+    decontaminate,
     fm_substrings,
     html_text,
     packing,
@@ -39,6 +40,11 @@ def op2_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.find_leaks(documents, benchmark, ["doc_id"])
+
+
 def op4_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults between an archive of all pages and a replica damaged by a stated rule.
 
@@ -92,6 +98,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_two_fit": op1_best_two_fit,
     "op2_vector_sharding": op2_vector_sharding,
+    "op3_decontamination": op3_decontamination,
     "op4_merkle_fixity": op4_merkle_fixity,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_token_counts": op6_token_counts,
