@@ -1,4 +1,10 @@
-"""The training-data pipeline: stages over the documents table."""
+"""The training-data pipeline: documents to packed sequences.
+
+Each stage gets what its predecessor kept, as a table read back from Parquet,
+and returns the columns of ``documents``; the last returns the packing.  The
+stages' defined results for NULLs, empty and repeated rows are those of the
+operators they call.
+"""
 
 from __future__ import annotations
 
@@ -7,20 +13,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievemart.llm import quality
+from sievemart.llm import decontaminate, fm_substrings, packing, quality, simhash_dedup
 from sievemart.llm.common import table
 from sievemart.session import ensure_checkpoint_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Near-duplicate stages on word shingles take five words.
+SHINGLE_WORDS = 5
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality.keep_good(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that of the least id."""
+    return simhash_dedup.keep_one(docs, words=SHINGLE_WORDS)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that repeat across them, their length updated."""
+    return fm_substrings.remove_repeats(docs, length_col="n_chars")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.remove_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents and their place in sequences."""
+    return packing.pack_documents(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 
@@ -35,4 +68,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
+#: SimHash, packing and token ids have no SQL; tests/llm compares with brute force.
 ORACLE_SQL = None

@@ -412,13 +412,22 @@ def removal_report(
     return found.select(F.col("row")["id"].alias(id_col), "n_words", "n_removed", "spans", "kept")
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, text_col: str = "text", window: int = WINDOW, length_col: str | None = None
+) -> DataFrame:
     """The rows of ``docs`` with repeated passages taken out of the text.
 
-    A text without any keeps its own white space, and a NULL stays NULL.
+    A text without any keeps its own white space, and a NULL stays NULL.  If
+    ``docs`` has a column ``length_col``, it gets a changed text's characters.
     """
     found = repeated_passages(docs, text_col, window)
-    kept = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row")[text_col])
-    return found.select(
-        *[kept.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
-    )
+    changed = F.col("n_removed") > 0
+    columns = []
+    for field in docs.schema:
+        value = F.col("row")[field.name]
+        if field.name == text_col:
+            value = F.when(changed, F.col("kept")).otherwise(value)
+        elif field.name == length_col:
+            value = F.when(changed, F.char_length("kept").cast(field.dataType)).otherwise(value)
+        columns.append(value.alias(field.name))
+    return found.select(*columns)
