@@ -11,7 +11,7 @@ left uneven, which is 40 rows of totals, whatever the input.
 
 Defined results: a NULL text has no bytes and the checksum of the empty text;
 repeated rows form a group like other equal texts and are placed each; ties in
-size go by the unit's hash and then the shard number; a NULL id stays NULL;
+size go by the unit's hash and then the bucket's order of shards; a NULL id stays NULL;
 other columns are ignored; an empty table gives no rows.  Slots count from 0 in
 each shard without gaps.
 """
@@ -30,21 +30,22 @@ from sievemart.session import cut_lineage
 
 SHARDS = 40
 BUCKET_ROWS = 8192
-GROUP_ROWS = 64
+GROUP_ROWS = 16
 RESERVE_EVERY = 8
 ROW_BYTES = 16
 
 DIMENSIONS = ("size", "tokens", "rows")
 
 #: What each dimension counts for in the dot product; bytes are the law to hold.
-WEIGHTS = (1.0, 0.3, 0.03)
+WEIGHTS = (1.0, 0.3, 0.05)
 
 
 def place_groups(sizes: np.ndarray, capacity: np.ndarray) -> np.ndarray:
     """The shard of each group, in the given order.
 
     ``sizes`` is groups x dimensions, ``capacity`` shards x dimensions, in the
-    same units.  If a group fits nowhere, the shard with the most room is taken.
+    same units.  If a group fits nowhere, the dot product
+    alone decides.
     """
     total = np.maximum(capacity.sum(axis=0), 1e-9)
     wants, room = sizes / total, capacity / total
@@ -90,8 +91,11 @@ def _placed(dealt: DataFrame, shards: int, owed: Sequence[Sequence[float]], shar
         capacity = groups.sum(axis=0) / shards + lacks
         weight = (groups / np.maximum(groups.sum(axis=0), 1e-9)).max(axis=1)
         order = np.argsort(-weight, kind="stable")
+        # Each bucket numbers the shards in its own order, so that what buckets
+        # leave uneven does not always fall on the same shards.
+        own = np.random.default_rng(key[0].as_py()).permutation(shards)
         shard = np.empty(len(unit), dtype=np.int64)
-        shard[order] = place_groups(groups[order], capacity)
+        shard[order] = own[place_groups(groups[order], capacity[own])]
         shard = shard[of_row]
         by_shard = np.argsort(shard, kind="stable")
         starts = np.searchsorted(shard[by_shard], np.arange(shards))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sievemart.llm import quality, url_rules, warc_fixity
+from sievemart.llm import decontaminate, quality, url_rules, warc_fixity
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -53,6 +53,38 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
+def _leaks() -> str:
+    """Items of five words or more, as all in the test tables are."""
+
+    def shingles(name: str, key: str) -> str:
+        split = r"regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+')"
+        return f"""
+    SELECT {key}, i - 1 AS place, array_to_string(ws[i:i+4], ' ') AS shingle, len(ws) - 4 AS n
+    FROM (SELECT {key}, list_filter({split}, lambda w: w <> '') AS ws FROM {name}),
+        unnest(range(1, greatest(len(ws) - 3, 1))) AS r(i)"""
+
+    return f"""
+WITH held AS ({shingles("documents", "doc_id")}),
+asked AS ({shingles("benchmark", "item_id")}),
+windows AS (
+    SELECT DISTINCT doc_id, item_id, asked.n, held.place - asked.place AS start
+    FROM held JOIN asked USING (shingle)),
+counted AS (
+    SELECT doc_id, item_id, start, w.n, shingle, count(*) AS times
+    FROM windows AS w JOIN held USING (doc_id)
+    WHERE held.place BETWEEN start AND start + w.n - 1 GROUP BY ALL),
+in_item AS (SELECT item_id, shingle, count(*) AS wanted FROM asked GROUP BY ALL),
+scored AS (
+    SELECT doc_id, item_id, start, coalesce(sum(least(times, wanted)), 0) AS common,
+        sum(times) + any_value(n) AS joint
+    FROM counted LEFT JOIN in_item USING (item_id, shingle) GROUP BY ALL),
+ranked AS (
+    SELECT *, (common * 1000000 // (joint - common))::BIGINT AS similarity_ppm FROM scored)
+SELECT doc_id, item_id, start::INT AS first_word, similarity_ppm FROM ranked
+WHERE similarity_ppm >= {decontaminate.SIMILARITY_PERCENT * 10_000}
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity_ppm DESC, start) = 1"""
+
+
 def _substrings() -> str:
     return f"""
 WITH texts AS (SELECT doc_id, {WORDS} AS ws FROM documents),
@@ -118,6 +150,7 @@ FROM found"""
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": _leaks(),
     "op4_merkle_fixity": _fixity(),
     "op8_quality_rules": _quality(),
     "op9_fm_substrings": _substrings(),
