@@ -353,19 +353,26 @@ def _marks(texts: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def repeated_passages(
-    docs: DataFrame, text_col: str = "text", window: int = WINDOW, gram: int = GRAM
+    docs: DataFrame, text_col: str = "text", window: int = WINDOW, gram: int = GRAM, as_is: bool = False
 ) -> DataFrame:
-    """Per row of ``docs``: the row as ``row``, its words, repeated spans and kept text.
+    """Per row of ``docs``: its other columns in ``row``, words, repeated spans, kept text.
 
-    ``spans`` lists the first and last word of each stretch covered by repeated
-    windows; ``kept`` joins the other words by one space.
+    ``row`` has the columns but the text as ``c0``, ``c1``, ... and ``no_text``,
+    which tells a NULL text.  ``spans`` lists the first and last word of each
+    stretch covered by repeated windows; ``kept`` joins the other words by one
+    space, or with ``as_is`` is the text itself if nothing is removed.
     """
     if not 0 < window - gram + 1 <= 63 or gram < 1:
         raise ValueError("a window must be at least as long as a gram and at most 62 words longer")
     ship_code(docs.sparkSession)
     text = F.coalesce(text_col, F.lit("")).cast("binary")
+    others = [c for c in docs.columns if c != text_col]
+    # The text travels once, not in the row as well.
+    row = F.struct(
+        *[F.col(c).alias(f"c{i}") for i, c in enumerate(others)], F.col(text_col).isNull().alias("no_text")
+    )
     texts = docs.select(
-        F.struct("*").alias("_row"),
+        row.alias("_row"),
         text.alias("_text"),
         F.xxhash64(text).alias("_hash"),
         F.octet_length(text).alias("_bytes"),
@@ -385,7 +392,7 @@ def repeated_passages(
                 else:
                     removed.append(0)
                     spans.append([])
-                kept.append(b" ".join(words).decode())
+                kept.append((data if as_is and not marks else b" ".join(words)).decode())
             span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -407,9 +414,8 @@ def removal_report(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW
 ) -> DataFrame:
     """Per row: id, words, removed words, their spans and the text that is left."""
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = repeated_passages(narrow.select("id", "text"), "text", window)
-    return found.select(F.col("row")["id"].alias(id_col), "n_words", "n_removed", "spans", "kept")
+    found = repeated_passages(docs.select(id_col, text_col), text_col, window)
+    return found.select(F.col("row")["c0"].alias(id_col), "n_words", "n_removed", "spans", "kept")
 
 
 def remove_repeats(
@@ -420,14 +426,16 @@ def remove_repeats(
     A text without any keeps its own white space, and a NULL stays NULL.  If
     ``docs`` has a column ``length_col``, it gets a changed text's characters.
     """
-    found = repeated_passages(docs, text_col, window)
-    changed = F.col("n_removed") > 0
+    found = repeated_passages(docs, text_col, window, as_is=True)
+    others = [c for c in docs.columns if c != text_col]
     columns = []
     for field in docs.schema:
-        value = F.col("row")[field.name]
         if field.name == text_col:
-            value = F.when(changed, F.col("kept")).otherwise(value)
-        elif field.name == length_col:
-            value = F.when(changed, F.char_length("kept").cast(field.dataType)).otherwise(value)
+            value = F.when(~F.col("row")["no_text"], F.col("kept"))
+        else:
+            value = F.col("row")[f"c{others.index(field.name)}"]
+        if field.name == length_col:
+            length = F.char_length("kept").cast(field.dataType)
+            value = F.when(F.col("n_removed") > 0, length).otherwise(value)
         columns.append(value.alias(field.name))
     return found.select(*columns)
