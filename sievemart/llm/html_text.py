@@ -3,10 +3,12 @@
 A page is read once into a sequence of tags and text runs.  A run scores its
 number of words times the weight of the element around it, positive where that
 element holds content in the labelled pages; every tag scores below zero, the
-more so the more often it stands outside the content there.  One linear scan
-finds the contiguous stretch with the highest sum.  Inside it, elements that are
-never main text (menus, adverts, forms, comments and the like) are left out, and
-what remains is returned block by block.
+more so the more often it stands outside the content there.  Where a page marks
+an ``article`` or ``main`` itself, elements inside and outside of it are kinds of
+their own.  One linear scan finds the contiguous stretch with the highest sum.
+Elements that are never main text (menus, adverts, forms, comments and the like)
+are left out of the result wherever they stand, so they cost next to nothing and
+do not cut a stretch in two.  What remains is returned block by block.
 
 Labelled pages are those that mark their own content with a single ``article``
 or ``main`` element.  Every such page is counted, in the tasks; only the counts
@@ -69,7 +71,9 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 NAME_PART = re.compile(r"[a-z0-9]+")
 
 OUTSIDE_COST = 4.0
+TAG_OUTSIDE_COST = 1.0
 TAG_COST = 0.01
+SKIPPED_COST = 0.001
 INSIDE, OUTSIDE = "inside", "outside"
 
 
@@ -156,8 +160,10 @@ def read_runs(html: str) -> tuple[list[Run], int]:
     return runs, articles
 
 
-def _word_kind(run: Run) -> str:
-    return f"words {run.kind}"
+def _kind_of(run: Run, marked: bool) -> str:
+    """What a run is weighed as; ``marked`` if the page marks its content itself."""
+    side = f" {INSIDE if run.labelled else OUTSIDE}" if marked else ""
+    return f"{run.kind}{side}" if run.text is None else f"words {run.kind}{side}"
 
 
 def _count_kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,11 +175,12 @@ def _count_kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if articles != 1:
                 continue
             for run in runs:
-                side = INSIDE if run.labelled and not run.skipped else OUTSIDE
-                if run.text is None:
-                    seen[run.kind, side] += 1
-                else:
-                    seen[_word_kind(run), side] += len(run.text.split())
+                if run.skipped:
+                    continue
+                side = INSIDE if run.labelled else OUTSIDE
+                count = 1 if run.text is None else len(run.text.split())
+                for marked in (False, True):
+                    seen[_kind_of(run, marked), side] += count
         if len(seen) > 16 * KINDS:
             seen = Counter(dict(seen.most_common(8 * KINDS)))
     yield pa.RecordBatch.from_pydict(
@@ -202,12 +209,12 @@ def learn_weights(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
 
 def _weight(kind: str, inside: float, outside: float) -> float:
     words = kind.startswith("words ")
-    name = kind.removeprefix("words ").partition(".")[0]
+    name, _, side = kind.removeprefix("words ").partition(" ")
     # Priors, as counts seen beforehand.
-    inside += 8.0 if name in CONTENT else 2.0
-    outside += 8.0 if name in NEVER else 0.3
+    inside += 8.0 if name.partition(".")[0] in CONTENT or side == INSIDE else 2.0
+    outside += 16.0 if side == OUTSIDE else 0.3
     out = outside / (inside + outside)
-    return 1.0 - out - OUTSIDE_COST * out if words else -TAG_COST - OUTSIDE_COST * out
+    return 1.0 - out - OUTSIDE_COST * out if words else -TAG_COST - TAG_OUTSIDE_COST * out
 
 
 def best_stretch(scores: list[float]) -> tuple[int, int]:
@@ -223,17 +230,17 @@ def best_stretch(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(html: str, weights: dict[str, float]) -> str:
-    runs, _ = read_runs(html)
+    runs, articles = read_runs(html)
     scores = []
     for run in runs:
-        kind = run.kind if run.text is None else _word_kind(run)
-        weight = weights.get(kind)
-        if weight is None:
-            weight = weights[kind] = _weight(kind, 0, 0)
-        if run.text is not None:
-            words = len(run.text.split())
-            weight = words * (min(weight, -1.0) if run.skipped else weight)
-        scores.append(weight)
+        size = 1 if run.text is None else len(run.text.split())
+        if run.skipped:
+            scores.append(-SKIPPED_COST * size)
+            continue
+        kind = _kind_of(run, articles > 0)
+        if kind not in weights:
+            weights[kind] = _weight(kind, 0, 0)
+        scores.append(size * weights[kind])
     start, end = best_stretch(scores)
     blocks: dict[int, list[str]] = {}
     for run in runs[start:end]:
