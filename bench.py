@@ -27,7 +27,7 @@ from sievemart.operators.grouping import group_profile  # noqa: E402
 from sievemart.operators.projection import with_midpoint  # noqa: E402
 from sievemart.operators.replicate import replicate_rows  # noqa: E402
 from sievemart.plans.scaling import MULTIPLIERS, REPEATS, run_once  # noqa: E402
-from sievemart.sources.postings import postings  # noqa: E402
+from checks.postings import postings  # noqa: E402
 
 HEADLINE = (
     "strict_number",

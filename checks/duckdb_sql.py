@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from checks.spark_queries import RATES
 from sievemart.sources.catalog import WITH_TEST, WITHOUT_TEST
-from sievemart.sources.postings import ORDER_POSTINGS_SQL, POSTINGS_SQL
+from checks.postings import ORDER_POSTINGS_SQL, POSTINGS_SQL
 
 _TABLES = {"orders": "orders", "customer": "customer", "nation": "nation"}
 ORDER_POSTINGS = f"op AS ({ORDER_POSTINGS_SQL.format(**_TABLES)})"
@@ -74,14 +74,15 @@ MID_ROWS = f"{POSTINGS}, d AS (SELECT *, {mid()} AS salary_mid FROM p)"
 
 _STAGE_TEXT = (
     "id, area_name, name, salary_from, salary_to, salary_currency, experience, employment,"
-    " schedule, has_test, premium, archived, count_key_skills, published_at"
+    " schedule, has_test, premium, archived, count_key_skills, published_at,"
+    " test_required, salary_gross, area_id, address_lat"
 )
 STAGED = f"""{POSTINGS}, cleaned AS (
   SELECT id, area_name, name, {strict('salary_from')} AS salary_from,
     {strict('salary_to')} AS salary_to, salary_currency, experience, employment, schedule,
     {true_word('has_test')} AS has_test, {true_word('premium')} AS premium,
     {true_word('archived')} AS archived, {strict('count_key_skills')} AS count_key_skills,
-    published_at
+    published_at, test_required, salary_gross, area_id, address_lat
   FROM p),
 s AS (
   SELECT {_STAGE_TEXT} FROM (
@@ -95,10 +96,12 @@ _RATE = " ".join(f"WHEN '{c}' THEN {r}" for c, r in RATES.items())
 
 def mart(amount: str) -> str:
     return f"""{MID_ROWS}, m AS (
-  SELECT area_name, count(*) AS vacancies_with_salary, avg({amount}) AS avg_rub
+  SELECT area_name, count(*) AS vacancies_with_salary, count({amount}) AS converted,
+    avg({amount}) AS avg_rub
   FROM d WHERE salary_mid IS NOT NULL GROUP BY area_name)"""
 
 
+ROUBLE_MART = mart(f"CASE WHEN {code('salary_currency')} = 'RUR' THEN salary_mid END")
 RATED_MART = mart(f"salary_mid * CASE {code('salary_currency')} {_RATE} END")
 
 _DISTINCT = "count(*) AS vac_count, count(DISTINCT id) AS vac_distinct"
@@ -130,6 +133,12 @@ _LINES_BY_PRICE = """
   SELECT o_orderkey, o_totalprice FROM orders"""
 
 
+_RUN_SUMMARY = """(
+  SELECT l_linenumber AS multiplier, max(l_orderkey) AS rows, min(l_quantity) AS min_time_s,
+    max(l_quantity) AS max_time_s, avg(l_quantity) AS avg_time_s
+  FROM lineitem GROUP BY l_linenumber)"""
+
+
 def auc(rows: str, label_column: str, score: str) -> str:
     """Rank-sum form: mean ranks of the positives against all."""
     return f"""
@@ -215,7 +224,7 @@ def all_sql() -> dict[str, str]:
         "global_share": f"{op} SELECT count(*) AS total, sum(f)::BIGINT AS with_test,"
         f" sum(f)::DOUBLE / count(*) AS share FROM (SELECT {many_words('test_required')} AS f FROM op)",
         "avg_median": f"{d} SELECT area_name, avg(salary_mid) AS avg_salary,"
-        " quantile_disc(salary_mid, 0.5) AS median_salary FROM d GROUP BY area_name",
+        " count(salary_mid) > 0 AS median_in_bound FROM d GROUP BY area_name",
         "median_exact": f"{d} SELECT area_name, quantile_disc(salary_mid, 0.5) AS median_salary"
         " FROM d WHERE salary_mid IS NOT NULL GROUP BY area_name",
         "median_exact_many_groups": "SELECT l_partkey, quantile_disc(l_extendedprice, 0.5) AS median_price"
@@ -225,7 +234,7 @@ def all_sql() -> dict[str, str]:
         " FROM p GROUP BY area_name",
         "group_by_case": f"{op} SELECT {label('test_required')} AS test_flag, count(*) AS cnt FROM op GROUP BY 1",
         "const_per_group": f"{p} SELECT area_name, NULL::DOUBLE AS test_share FROM p GROUP BY area_name",
-        "salary_mart": f"WITH {mart('salary_mid')} SELECT * FROM m",
+        "salary_mart": f"WITH {ROUBLE_MART} SELECT * FROM m",
         "salary_mart_rates": f"WITH {RATED_MART} SELECT * FROM m",
         "join_inner": f"{d}, a AS (SELECT area_name, count(*) AS n, avg(salary_mid) AS avg_salary"
         f" FROM d WHERE salary_mid IS NOT NULL GROUP BY area_name), b AS (SELECT area_name, {_DISTINCT}"
@@ -254,13 +263,13 @@ def all_sql() -> dict[str, str]:
         "report_salary_by_city": f"{s} SELECT area_name, count(*) AS with_salary,"
         " avg(salary_from) AS avg_salary_from FROM s WHERE salary_from IS NOT NULL"
         " GROUP BY area_name HAVING count(*) >= 30 ORDER BY avg(salary_from) DESC, area_name NULLS FIRST LIMIT 30",
-        "report_test_share": f"{s} SELECT count(*) AS total, sum(has_test)::BIGINT AS with_test,"
-        " sum(has_test)::DOUBLE / count(*) AS share FROM s",
+        "report_test_share": f"{s} SELECT count(*) AS total, sum(f)::BIGINT AS with_test,"
+        f" sum(f)::DOUBLE / count(*) AS share FROM (SELECT {many_words('test_required')} AS f FROM s)",
         "sql_table_scan": f"WITH {RATED_MART} SELECT * FROM m",
         "sql_top_areas": f"{s} SELECT area_name, count(*) AS vacancies FROM s GROUP BY area_name"
         " ORDER BY vacancies DESC, area_name NULLS FIRST LIMIT 20",
         "sql_top_cities": f"{s} {_CITY_COUNT}",
-        "sql_salary_mart": f"WITH {RATED_MART} SELECT * FROM m"
+        "sql_salary_mart": f"WITH {RATED_MART} SELECT area_name, vacancies_with_salary, avg_rub FROM m"
         " ORDER BY vacancies_with_salary DESC, area_name NULLS FIRST LIMIT 30",
         "sql_city_salary": f"WITH {RATED_MART} {_CITY_SALARY}",
         "sql_test_share": f"{op} SELECT {label('test_required')} AS test_flag, count(*) AS cnt FROM op GROUP BY 1",
@@ -275,12 +284,20 @@ def all_sql() -> dict[str, str]:
         f" {category('k', 'salary_currency_norm')}",
         "category_index_many": category("lineitem", "l_partkey"),
         "split_rows": f"{op} SELECT posting_no, id, CASE WHEN CAST('0x' || substr(md5('42|' ||"
-        " coalesce(id, '')), 1, 8) AS BIGINT) % 10000 < 8000 THEN 'train' ELSE 'test' END AS part FROM op",
+        " coalesce(id, posting_no::VARCHAR)), 1, 8) AS BIGINT) % 10000 < 8000 THEN 'train' ELSE 'test' END AS part FROM op",
         "ml_features": f"{p} SELECT posting_no, {many_words('test_required')} AS label,"
         f" coalesce({lenient('salary_from')}, 0.0) AS salary_from,"
         f" coalesce({lenient('salary_to')}, 0.0) AS salary_to, {GROSS} AS salary_gross_bin,"
         f" coalesce({lenient('address_lat')}, 0.0) AS address_lat, {guarded('area_id')} AS area_id_num,"
         f" {code('salary_currency')} AS salary_currency_norm FROM p",
+        "run_summary": f"SELECT * FROM {_RUN_SUMMARY}",
+        "scaling_curve": "SELECT multiplier::DOUBLE AS multiplier_m, avg_time_s AS time"
+        f" FROM {_RUN_SUMMARY}",
+        "feed_mixed_case": f"{p} SELECT area_name AS city, count(*)::DOUBLE AS vacancies FROM p"
+        " GROUP BY area_name ORDER BY vacancies DESC, city NULLS FIRST LIMIT 20",
+        "csv_round_trip": f"{p} SELECT * REPLACE (posting_no::VARCHAR AS posting_no) FROM p",
+        "logreg_scored_rows": f"{p} SELECT id, {many_words('test_required')} AS label FROM p"
+        " WHERE CAST('0x' || substr(md5('42|' || id), 1, 8) AS BIGINT) % 10000 >= 8000",
         "rank_auc": auc("labels JOIN documents USING (doc_id)", "quality", "n_chars"),
         "rank_auc_ties": auc(
             "lineitem", "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END", "l_quantity"

@@ -14,8 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievemart.operators.projection import spread_scan
-
 # Columns that need the orders table only.
 _ORDER_COLUMNS = """
   o_orderkey AS posting_no,
@@ -61,7 +59,9 @@ ORDER_POSTINGS_SQL = f"SELECT {_ORDER_COLUMNS} FROM {{orders}}"
 
 POSTINGS_SQL = f"""
 SELECT {_ORDER_COLUMNS},
-  CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE n_name END AS area_name,
+  CASE WHEN o_orderkey % 41 = 0 THEN NULL
+       WHEN o_orderkey % 44 = 2 THEN 'remote'  -- only amounts without a known rate
+       ELSE n_name || ' ' || c_mktsegment END AS area_name,
   CASE WHEN o_orderkey % 13 = 0 THEN 'area ' || n_name
        WHEN o_orderkey % 13 = 1 THEN NULL
        ELSE ' ' || CAST(n_nationkey AS STRING) END AS area_id,
@@ -82,7 +82,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def order_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The postings columns that come from ``orders`` alone (no join)."""
-    return spark.sql(ORDER_POSTINGS_SQL, orders=spread_scan(read_table(spark, sf_dir, "orders")))
+    return spark.sql(ORDER_POSTINGS_SQL, orders=read_table(spark, sf_dir, "orders"))
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +93,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     return spark.sql(
         POSTINGS_SQL,
-        orders=spread_scan(read_table(spark, sf_dir, "orders")),
+        orders=read_table(spark, sf_dir, "orders"),
         customer=read_table(spark, sf_dir, "customer"),
         nation=read_table(spark, sf_dir, "nation"),
     )

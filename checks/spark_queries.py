@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,16 +12,12 @@ from sievemart import functions as fx
 from sievemart.operators import dedup, grouping, joins, ordering, projection, ranking, split
 from sievemart.operators.replicate import replicate_rows
 from sievemart.plans import feeds, model, reports, scaling, stage
-from sievemart.session import cut_lineage
-from sievemart.sources import catalog
-from sievemart.sources.postings import order_postings, postings, read_table
+from sievemart.session import cut_lineage, ensure_checkpoint_dir
+from sievemart.sources import catalog, files
+from checks.postings import order_postings, postings, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Groups of the test tables stay below a tenth of this, where the median sketch
-# still holds every row and its answer can be compared with an exact one.
-CHECK_ACCURACY = 100_000
-
 # Roubles per unit, a parameter of the mart; 'NA' and NULL have no rate.
 RATES = {"RUR": 1.0, "USD": 90.5}
 
@@ -332,8 +329,20 @@ def global_share(spark, sf):
 
 @query
 def avg_median(spark, sf):
-    df = with_mid(spark, sf)
-    return grouping.group_mean_median(df, "area_name", "salary_mid", CHECK_ACCURACY)
+    """The mean, and whether the sketch's median lies within its rank bound."""
+    df = stored_mid(spark, sf)
+    found = cut_lineage(grouping.group_mean_median(df, "area_name", "salary_mid"))
+    medians = found.select(F.col("area_name").alias("_area"), "avg_salary", "median_salary")
+    rows, middle = F.count("salary_mid"), F.max("median_salary")
+    slack = rows / grouping.MEDIAN_ACCURACY + 1
+    below = F.count_if(F.col("salary_mid") < F.col("median_salary"))
+    upto = F.count_if(F.col("salary_mid") <= F.col("median_salary"))
+    bound = middle.isNotNull() & (below <= rows / 2 + slack) & (upto >= rows / 2 - slack)
+    return (
+        df.join(medians, F.col("area_name").eqNullSafe(F.col("_area")))
+        .groupBy("area_name")
+        .agg(F.max("avg_salary").alias("avg_salary"), bound.alias("median_in_bound"))
+    )
 
 
 @query
@@ -457,7 +466,7 @@ def scaling_rows(spark, sf):
 
 @query
 def group_profile(spark, sf):
-    return grouping.group_profile(stored_mid(spark, sf), accuracy=CHECK_ACCURACY)
+    return grouping.group_profile(stored_mid(spark, sf))
 
 
 @query
@@ -564,6 +573,14 @@ def sql_bound_values(spark, sf):
     )
 
 
+@query
+def csv_round_trip(spark, sf):
+    """All postings written as CSV to the shared folder and read back as text."""
+    folder = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    files.write_csv(postings(spark, sf), folder)
+    return files.read_csv(spark, folder, keep_empty=True)
+
+
 # Chart feeds
 
 
@@ -582,6 +599,29 @@ def feed_flag(spark, sf):
     return feeds.flag_feed(sql_test_share(spark, sf))
 
 
+@query
+def feed_mixed_case(spark, sf):
+    counts = grouping.group_count(postings(spark, sf), "area_name", "Vacancies")
+    return feeds.top_city_feed(counts.select("Vacancies", F.col("area_name").alias("City")))
+
+
+@query
+def run_summary(spark, sf):
+    """The summary of timed runs, with order lines in the place of runs."""
+    return scaling.summarise_runs(
+        read_table(spark, sf, "lineitem").select(
+            F.col("l_linenumber").alias("multiplier"),
+            F.col("l_orderkey").alias("rows"),
+            F.col("l_quantity").alias("seconds"),
+        )
+    )
+
+
+@query
+def scaling_curve(spark, sf):
+    return feeds.scaling_feed(run_summary(spark, sf))
+
+
 # Model
 
 
@@ -601,7 +641,8 @@ def category_index_many(spark, sf):
 
 @query
 def split_rows(spark, sf):
-    train, test = split.split_rows(order_postings(spark, sf).select("posting_no", "id"), ["id"])
+    rows = order_postings(spark, sf).select("posting_no", "id")
+    train, test = split.split_rows(rows, ["id"], instead=["posting_no"])
     return train.withColumn("part", F.lit("train")).unionByName(
         test.withColumn("part", F.lit("test"))
     )
@@ -626,9 +667,20 @@ def rank_auc_ties(spark, sf):
     return ranking.rank_auc(lines, "label", "l_quantity")
 
 
-@query
-def logreg_predictions(spark, sf):
+def _scored(spark, sf):
     # Fitting passes over its input several times: parse the texts once.
     inputs = ["id", "test_flag", *model.AMOUNTS, "salary_gross", "area_id", "salary_currency"]
     _, scored = model.fit_and_score(cut_lineage(cleaned(spark, sf).select(inputs)))
+    return scored
+
+
+@query
+def logreg_scored_rows(spark, sf):
+    """Which rows with an id are scored, and their labels."""
+    return _scored(spark, sf).filter(F.col("id").isNotNull()).select("id", "label")
+
+
+@query
+def logreg_predictions(spark, sf):
+    scored = _scored(spark, sf)
     return scored.select("id", "label", F.round("score", 6).alias("score"), "prediction")

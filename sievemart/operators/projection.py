@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from sievemart.functions import lenient_number, midpoint
 from sievemart.functions.typed import null_of
 
-# A scan of this many tasks or fewer is small (128 MB each by default).
-SMALL_SCAN = 8
-PIECES_PER_TASK = 32
-
 
 def keep_available(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
     """The wanted columns the frame has, in the wanted order."""
@@ -50,20 +46,6 @@ def with_midpoint(
     return df.withColumns(ends).withColumn(name, middle).drop(*ends)
 
 
-def spread_scan(scan: DataFrame, partitions: int | None = None) -> DataFrame:
-    """A small file scan over as many partitions as there are cores.
-
-    A table of one small file is one task, however much work follows.  A scan of
-    more than ``SMALL_SCAN`` tasks is left alone, so no large table is shuffled for
-    this.  Meant for scans: counting the partitions of a frame with a shuffle runs it.
-    """
-    has = scan.rdd.getNumPartitions()
-    wanted = partitions or min(
-        scan.sparkSession.sparkContext.defaultParallelism, has * PIECES_PER_TASK
-    )
-    return scan if has > SMALL_SCAN or has >= wanted else scan.repartition(wanted)
-
-
 def find_column(df: DataFrame, candidates: Sequence[str], fallback: int) -> str:
     """First candidate present, ignoring case, else the column at ``fallback``."""
     by_lower = {}

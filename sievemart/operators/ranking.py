@@ -32,11 +32,15 @@ def rank_auc(df: DataFrame, label: str, score: str, name: str = "auc") -> DataFr
         F.sum(1 - F.col(label).cast("long")).alias("_neg"),
     )
     ordered = running_totals(counted, [F.asc("_score")], {"_neg_upto": "_neg"})
-    # Doubles: positives times negatives would overflow a long at scale.
-    pos, neg = F.col("_pos").cast("double"), F.col("_neg").cast("double")
-    below = F.col("_neg_upto").cast("double") - neg
-    return ordered.agg(
-        F.try_divide(
-            F.sum(pos * (below + neg / 2)), F.sum(pos) * F.sum(neg)
-        ).alias(name)
+    # Whole numbers of 38 digits up to the one division: positives times negatives
+    # overflow a long at scale, and sums of doubles depend on their order.
+    whole = "decimal(19,0)"
+    pos = F.col("_pos").cast(whole)
+    twice_below = (2 * F.col("_neg_upto") - F.col("_neg")).cast(whole)
+    sums = ordered.agg(
+        F.sum(pos * twice_below).alias("_wins"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n")
+    )
+    pairs = F.col("_p").cast(whole) * F.col("_n").cast(whole)
+    return sums.select(
+        F.try_divide(F.col("_wins").cast("double"), 2 * pairs.cast("double")).alias(name)
     )

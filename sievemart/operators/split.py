@@ -14,23 +14,42 @@ SEED = 42
 _BUCKETS = 10_000
 
 
-def split_bucket(keys: Sequence[str], seed: int = SEED) -> Column:
+def split_bucket(
+    keys: Sequence[str], seed: int = SEED, instead: Sequence[str] = ()
+) -> Column:
     """A number below 10,000 from an MD5 of the seed and the key columns.
 
-    MD5 rather than Spark's own hash, so that other engines give the same split.
+    Rows whose keys are all NULL go by the columns ``instead``, so that they do not
+    all end up on one side.  MD5 rather than Spark's own hash, so that other
+    engines give the same split.
     """
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % _BUCKETS
 
+    def text(columns: Sequence[str]) -> Column:
+        parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+        return F.concat_ws("|", F.lit(str(seed)), *parts)
 
-def is_train(keys: Sequence[str], share: float = TRAIN_SHARE, seed: int = SEED) -> Column:
-    return split_bucket(keys, seed) < round(share * _BUCKETS)
+    hashed = text(keys)
+    if instead:
+        hashed = F.when(F.coalesce(*keys).isNull(), text(instead)).otherwise(hashed)
+    return F.conv(F.substring(F.md5(hashed), 1, 8), 16, 10).cast("long") % _BUCKETS
+
+
+def is_train(
+    keys: Sequence[str],
+    share: float = TRAIN_SHARE,
+    seed: int = SEED,
+    instead: Sequence[str] = (),
+) -> Column:
+    return split_bucket(keys, seed, instead) < round(share * _BUCKETS)
 
 
 def split_rows(
-    df: DataFrame, keys: Sequence[str], share: float = TRAIN_SHARE, seed: int = SEED
+    df: DataFrame,
+    keys: Sequence[str],
+    share: float = TRAIN_SHARE,
+    seed: int = SEED,
+    instead: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows; rows with equal keys stay together."""
-    train = is_train(keys, share, seed)
+    train = is_train(keys, share, seed, instead)
     return df.filter(train), df.filter(~train)

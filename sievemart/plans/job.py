@@ -10,6 +10,7 @@ from sievemart.plans.model import run_model
 from sievemart.plans.reports import clean_leniently, run_reports, salary_mart
 from sievemart.plans.scaling import MULTIPLIERS, REPEATS, scaling_runs, summarise_runs
 from sievemart.plans.stage import run_stage
+from sievemart.session import intermediates
 from sievemart.sources import catalog
 from sievemart.sources.files import read_csv, read_stage, write_report
 
@@ -34,6 +35,7 @@ def run_job(
     repeats: int = REPEATS,
     database: str | None = None,
     rates: Mapping[str, float] | None = None,
+    multi_line: bool = True,
 ) -> None:
     """Stage, then reports and model, then the scaling sweep.
 
@@ -41,11 +43,12 @@ def run_job(
     reports are saved there too.  The first error ends the job and is raised.
     """
     stage_path = f"{out_dir}/stage"
-    run_stage(spark, raw_csv, stage_path)
+    run_stage(spark, raw_csv, stage_path, multi_line)
     stage = read_stage(spark, stage_path)
     if database:
-        publish_tables(read_csv(spark, raw_csv), stage, database, rates)
+        publish_tables(read_csv(spark, raw_csv, multi_line=multi_line), stage, database, rates)
     run_reports(stage, f"{out_dir}/reports")
-    run_model(clean_leniently(stage), f"{out_dir}/reports/ml_results")
-    summary = summarise_runs(scaling_runs(stage, multipliers, repeats))
-    write_report(summary, f"{out_dir}/reports/scalability_results")
+    with intermediates(spark):
+        run_model(clean_leniently(stage), f"{out_dir}/reports/ml_results")
+        summary = summarise_runs(scaling_runs(stage, multipliers, repeats))
+        write_report(summary, f"{out_dir}/reports/scalability_results")

@@ -55,15 +55,16 @@ def classifier() -> Pipeline:
     )
 
 
-def split_keys(df: DataFrame) -> list[str]:
-    """Split by id where there is one, else by the whole feature row."""
-    return ["id"] if "id" in df.columns else ["label", *FEATURES]
+def split_data(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split by id; rows without one, and tables without ids, by the feature row."""
+    row = ["label", *FEATURES]
+    return split_rows(df, ["id"], instead=row) if "id" in df.columns else split_rows(df, row)
 
 
 def fit_and_score(df: DataFrame) -> tuple[PipelineModel, DataFrame]:
     """Fit on the training rows; returns the model and the scored test rows."""
     data = labelled_features(df, *(["id"] if "id" in df.columns else []))
-    train, test = split_rows(data, split_keys(data))
+    train, test = split_data(data)
     model = classifier().fit(train)
     scored = model.transform(test).withColumn("score", vector_to_array("probability")[1])
     return model, scored

@@ -16,17 +16,16 @@ from sievemart.operators.grouping import (
 )
 from sievemart.operators.ordering import top_k
 from sievemart.operators.projection import with_midpoint, with_ratio
-from sievemart.sources.files import (
-    SHARE_REPORT_ROWS,
-    TOP_REPORT_ROWS,
-    write_report,
-)
+from sievemart.sources.files import write_report
 
 # Sizes of the reports and the least group size for a mean.
 TOP_AREAS = 20
 TOP_SALARIES = 30
 MIN_ROWS = 30
 
+# Roubles per unit where no rates are given.
+ROUBLES = {"RUR": 1.0}
+
 LENIENT_COLUMNS = ("salary_from", "salary_to", "address_lat")
 
 
@@ -87,9 +86,6 @@ def reports_of_rollup(rollup: DataFrame, min_rows: int = MIN_ROWS) -> dict[str,
     }
 
 
-REPORT_CAPS = {"top_cities": TOP_REPORT_ROWS, "test_share": SHARE_REPORT_ROWS}
-
-
 def run_reports(stage: DataFrame, out_dir: str) -> None:
     """All reports of a stage table as CSV.
 
@@ -105,27 +101,30 @@ def run_reports(stage: DataFrame, out_dir: str) -> None:
         if "area_name" in cleaned.columns:
             reports["top_cities"] = top_areas(cleaned)
     for name, report in reports.items():
-        caps = {"max_rows": REPORT_CAPS[name]} if name in REPORT_CAPS else {}
-        write_report(report, f"{out_dir}/{name}", **caps)
+        write_report(report, f"{out_dir}/{name}")
     if rollup is not None:
         rollup.unpersist()
 
 
 def salary_mart(df: DataFrame, rates: Mapping[str, float] | None = None) -> DataFrame:
-    """Rows with a salary and the mean salary midpoint, per area.
+    """Rows with a salary, and how many of them have a known rate and their mean in roubles.
 
-    ``rates`` gives roubles per unit of each currency code, and rows with another
-    code then add nothing to the mean.  Without rates amounts are taken as they
-    are.  The rates become a literal map, so there is no join.
+    ``rates`` gives roubles per unit of each currency code; without it only
+    amounts in roubles are known.  Rows with another code add nothing to the mean.
+    The rates become a literal map, so there is no join.
     """
-    amount = F.col("salary_mid")
-    if rates is not None:
-        pairs = [F.lit(x) for code, rate in rates.items() for x in (code, float(rate))]
-        amount = amount * F.try_element_at(F.create_map(*pairs), norm_code("salary_currency"))
+    known = ROUBLES if rates is None else rates
+    pairs = [F.lit(x) for code, rate in known.items() for x in (code, float(rate))]
+    rate = F.try_element_at(F.create_map(*pairs), norm_code("salary_currency"))
+    amount = F.col("salary_mid") * (rate if pairs else F.lit(None).cast("double"))
     return (
         with_midpoint(df)
         .withColumn("_amount", amount)
         .groupBy("area_name")
-        .agg(F.count("salary_mid").alias("vacancies_with_salary"), F.avg("_amount").alias("avg_rub"))
+        .agg(
+            F.count("salary_mid").alias("vacancies_with_salary"),
+            F.count("_amount").alias("converted"),
+            F.avg("_amount").alias("avg_rub"),
+        )
         .filter("vacancies_with_salary > 0")
     )

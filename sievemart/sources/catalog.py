@@ -52,6 +52,11 @@ GROUP BY 1
 """
 
 
+def quoted(name: str) -> str:
+    """An identifier as it stands in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def register(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
     """Make frames readable by name in SQL for this session."""
     for name, df in tables.items():
@@ -60,9 +65,9 @@ def register(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
 
 def save_table(df: DataFrame, name: str, database: str | None = None) -> str:
     """Keep a frame as a Parquet table of the catalog; returns its full name."""
-    full = f"{database}.{name}" if database else name
+    full = f"{quoted(database)}.{quoted(name)}" if database else quoted(name)
     if database:
-        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
     df.write.mode("overwrite").format("parquet").saveAsTable(full)
     return full
 
@@ -72,7 +77,7 @@ def read_catalog(spark: SparkSession, name: str) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {database}" if database else "SHOW TABLES")
+    return spark.sql(f"SHOW TABLES IN {quoted(database)}" if database else "SHOW TABLES")
 
 
 def run_sql(

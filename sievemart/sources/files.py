@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql.types import (
     DoubleType,
     IntegerType,
@@ -14,11 +16,6 @@ from pyspark.sql.types import (
 NO_TEXT = "\0"  # a null marker that no field holds
 BOM = "\ufeff"
 
-# Row caps of the written reports.
-REPORT_ROWS = 50_000
-TOP_REPORT_ROWS = 20_000
-SHARE_REPORT_ROWS = 10
-
 STAGE_SCHEMA = StructType(
     [
         StructField("id", StringType()),
@@ -35,6 +32,10 @@ STAGE_SCHEMA = StructType(
         StructField("archived", IntegerType()),
         StructField("count_key_skills", DoubleType()),
         StructField("published_at", StringType()),
+        StructField("test_required", StringType()),
+        StructField("salary_gross", StringType()),
+        StructField("area_id", StringType()),
+        StructField("address_lat", StringType()),
     ]
 )
 
@@ -46,6 +47,7 @@ def read_csv(
     infer: bool = False,
     multi_line: bool = True,
     keep_empty: bool = False,
+    mixed_headers: bool = False,
 ) -> DataFrame:
     """A CSV with a header, quoted line breaks and doubled quotes.
 
@@ -56,21 +58,37 @@ def read_csv(
     one record per line.  An empty field is NULL, quoted or not; with
     ``keep_empty`` a quoted one is an empty text.  A missing path raises
     ``AnalysisException``.
+
+    All files must have the first file's header, else reading them raises an
+    error.  With ``mixed_headers`` each file goes by its own: columns are matched
+    by name, and a column that a file lacks is NULL there.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-    )
-    if keep_empty:
-        reader = reader.option("nullValue", NO_TEXT)
+
+    def reader() -> DataFrameReader:
+        made = (
+            spark.read.option("header", True)
+            .option("multiLine", multi_line)
+            .option("quote", '"')
+            .option("escape", '"')
+        )
+        return made.option("nullValue", NO_TEXT) if keep_empty else made
+
+    def one_header(files: str | list[str]) -> DataFrame:
+        """Files with one header; Spark compares it with that of each file."""
+        named = reader().option("inferSchema", infer).csv(files).schema
+        df = reader().option("enforceSchema", False).schema(named).csv(files)
+        return df.withColumnRenamed(named[0].name, named[0].name.lstrip(BOM))
+
     if schema is not None:
         # Columns go by position; this makes Spark compare them with the header.
-        return reader.option("enforceSchema", False).schema(schema).csv(path)
-    df = reader.option("inferSchema", infer).csv(path)
-    first = df.columns[0]
-    return df.withColumnRenamed(first, first.lstrip(BOM))
+        return reader().option("enforceSchema", False).schema(schema).csv(path)
+    if not mixed_headers:
+        return one_header(path)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in reader().csv(path).inputFiles():
+        by_header.setdefault(tuple(reader().csv(file).columns), []).append(file)
+    parts = [one_header(files) for files in by_header.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
@@ -96,9 +114,9 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def write_report(df: DataFrame, path: str, max_rows: int = REPORT_ROWS) -> None:
-    """At most ``max_rows`` rows as a single CSV file with a header."""
-    write_csv(df.limit(max_rows).coalesce(1), path)
+def write_report(df: DataFrame, path: str) -> None:
+    """All rows of a finished report as a single CSV file with a header."""
+    write_csv(df.coalesce(1), path)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

@@ -227,13 +227,6 @@ def test_midpoint_needs_neither_column(spark):
     assert projection.with_midpoint(df.select(F.lit(1).alias("x"))).first().salary_mid is None
 
 
-def test_spread_scan(spark, tmp_path):
-    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "t"))
-    scan = spark.read.parquet(str(tmp_path / "t"))
-    assert projection.spread_scan(scan, 4).rdd.getNumPartitions() == 4
-    assert projection.spread_scan(scan, 1) is scan
-
-
 def test_split_ignores_partitioning(spark):
     df = spark.range(20_000).select(F.col("id").cast("string").alias("id"))
     parts = []

@@ -7,9 +7,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sievemart.operators.grouping import group_profile
+from sievemart.operators.split import split_rows
 from sievemart.plans import feeds, job, model, reports, scaling, stage
 from sievemart.sources import catalog, files
-from sievemart.sources.postings import postings
+from checks.postings import postings
 
 SF = "/root/testdata/sf0.001"
 
@@ -85,7 +86,7 @@ def test_stage_job(spark, raw_path, tmp_path):
     out = str(tmp_path / "stage")
     stage.run_stage(spark, raw_path, out)
     staged = files.read_stage(spark, out)
-    assert staged.schema == files.STAGE_SCHEMA
+    assert staged.schema.fields == files.STAGE_SCHEMA.fields[: len(staged.columns)]
     rows = {r.id: r for r in staged.collect()}
     assert set(rows) == {"1", "2", None}
     assert (rows["1"].salary_from, rows["1"].has_test, rows["1"].archived) == (1500.5, 1, 1)
@@ -144,17 +145,88 @@ def test_reports_without_area_or_salary(spark, tmp_path):
     assert not (tmp_path / "b" / "salary_by_city").exists()
 
 
-def test_report_cap(spark, tmp_path):
-    files.write_report(spark.range(500), str(tmp_path / "r"), max_rows=10)
-    assert files.read_report(spark, str(tmp_path / "r")).count() == 10
+def test_reports_are_written_in_full(spark, tmp_path):
+    files.write_report(spark.range(60_000), str(tmp_path / "r"))
+    assert files.read_report(spark, str(tmp_path / "r")).count() == 60_000
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_files_with_other_headers(spark, tmp_path, multi_line):
+    (tmp_path / "a.csv").write_text("id,area_name,extra\n1,X,e\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("area_name,id\nY,3\n", encoding="utf-8")
+    with pytest.raises(Exception, match="CSV header|header"):
+        files.read_csv(spark, str(tmp_path / "*.csv"), multi_line=multi_line).collect()
+    both = files.read_csv(spark, str(tmp_path / "*.csv"), multi_line=multi_line, mixed_headers=True)
+    assert {(r.id, r.area_name, r.extra) for r in both.collect()} == {("1", "X", "e"), ("3", "Y", None)}
+
+
+def test_intermediates_are_removed(spark, tmp_path):
+    import os
+
+    from sievemart.operators.ranking import rank_auc
+    from sievemart.session import ensure_checkpoint_dir, intermediates
+
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    scored = spark.createDataFrame([(1, 0.5), (0, 0.5), (1, 0.9)], "y int, s double")
+    with intermediates(spark) as written:
+        assert rank_auc(scored, "y", "s").first().auc == 0.75
+        assert written and set(os.listdir(folder)) > before
+    assert set(os.listdir(folder)) == before
+
+
+def test_a_cluster_needs_a_named_folder(spark, monkeypatch):
+    from sievemart import session
+
+    class Context:
+        applicationId = "x"
+        master = "local-cluster[2,1,1024]"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+    Context.master = "local[4]"
+    assert session.ensure_checkpoint_dir(Session()) == session.ensure_checkpoint_dir(Session())
+
+
+def test_rows_without_an_id_are_split_too(spark):
+    rows = spark.createDataFrame([(None, str(i)) for i in range(5000)], "id string, other string")
+    train, test = split_rows(rows, ["id"], instead=["other"])
+    assert 0.18 < test.count() / 5000 < 0.22
+    assert train.count() + test.count() == 5000
+
+
+def test_quoted_database_names(spark):
+    name = catalog.save_table(spark.range(3), "order", "select")
+    assert catalog.read_catalog(spark, name).count() == 3
+    assert [r.tableName for r in catalog.list_tables(spark, "select").collect()] == ["order"]
+
+
+def test_optional_columns_reach_the_model(staged):
+    data = model.labelled_features(reports.clean_leniently(staged))
+    for name in ("salary_gross_bin", "area_id_num", "address_lat", "label"):
+        assert data.select(name).distinct().count() > 1
+    from sievemart.operators.projection import with_midpoint
+
+    assert group_profile(with_midpoint(staged)).filter("test_share IS NOT NULL").count() > 0
 
 
 def test_mart_with_rates(spark):
     rows = [("a", "10", "20", "rur"), ("a", "1", None, " usd "), ("a", "5", None, "xyz"), ("b", None, None, "rur")]
     df = spark.createDataFrame(rows, "area_name string, salary_from string, salary_to string, salary_currency string")
-    assert {tuple(r) for r in reports.salary_mart(df).collect()} == {("a", 3, 7.0)}
+    assert {tuple(r) for r in reports.salary_mart(df).collect()} == {("a", 3, 1, 15.0)}
     rated = reports.salary_mart(df, {"RUR": 1, "USD": 90}).collect()
-    assert {tuple(r) for r in rated} == {("a", 3, 52.5)}
+    assert {tuple(r) for r in rated} == {("a", 3, 2, 52.5)}
+    assert {tuple(r) for r in reports.salary_mart(df, {}).collect()} == {("a", 3, 0, None)}
 
 
 def test_catalog_tables(spark, staged):
@@ -198,6 +270,24 @@ def test_scaling(spark, staged, tmp_path):
     assert [(r.multiplier_m, r.time) for r in curve] == [(float(r.multiplier), r.avg_time_s) for r in rows]
 
 
+def max_gradient(fitted, df):
+    """Largest part of the penalised loss's gradient at the fitted coefficients."""
+    import numpy as np
+
+    train, _ = model.split_data(model.labelled_features(df, "id"))
+    rows = fitted.transform(train).select("features", "label").collect()
+    x = np.array([r.features.toArray() for r in rows])
+    y = np.array([r.label for r in rows], dtype=float)
+    fit = fitted.stages[-1]
+    w = fit.coefficients.toArray()
+    error = 1 / (1 + np.exp(-(x @ w + fit.intercept))) - y
+    # The penalty is on standardised columns; constant columns have no coefficient.
+    scale = x.std(axis=0, ddof=1)
+    used = scale > 0
+    part = (x[:, used] / scale[used]).T @ error / len(y) + model.REG_PARAM * w[used] * scale[used]
+    return max(np.abs(part).max(), abs(error.mean()))
+
+
 def test_model(spark):
     df = reports.clean_leniently(postings(spark, SF))
     fitted, scored = model.fit_and_score(df)
@@ -207,7 +297,8 @@ def test_model(spark):
     row = scored.first()
     assert 0 <= row.score <= 1 and row.prediction in (0.0, 1.0)
     assert fitted.stages[1].categorySizes == [4]  # three codes and the NULL bucket
-    assert row.features.size == 5 + 4 or row.features.size == 5 + 3
+    assert row.features.size == 5 + 4  # five numbers, three codes and the NULL bucket
+    assert max_gradient(fitted, df) < 1e-3
 
 
 def test_model_without_optional_columns(spark, tmp_path):
@@ -247,12 +338,15 @@ def test_whole_job(spark, tmp_path):
     assert spark.catalog.currentDatabase() == before
 
 
-def test_partitioning_and_caching(spark):
-    df = spark.range(100).repartition(4).cache()
-    assert df.count() == 100 and df.rdd.getNumPartitions() == 4
-    assert df.storageLevel.useMemory
-    df.unpersist()
-    assert not df.storageLevel.useMemory
+def test_sweep_holds_its_input(spark, staged):
+    from sievemart.session import intermediates
+
+    with intermediates(spark) as written:
+        scaling.scaling_runs(staged, multipliers=(1,), repeats=1, partitions=3)
+        (held,) = written
+        frame = spark.read.parquet(held)
+        assert frame.columns == ["salary_mid", "id", "area_name", "test_required"]
+        assert len(frame.inputFiles()) == 3 and frame.count() == staged.count()
 
 
 def test_profile_of_stage(staged):
