@@ -53,7 +53,7 @@ THRESHOLDS = (
     Threshold("long_words", "word_chars", "at_most", 1000, "n_words"),
     Threshold("symbols", "n_symbols", "at_most", 10, "n_words"),
     Threshold("stop_words", "n_stop_words", "at_least", 4, "n_words"),
-    Threshold("repeated_lines", "n_dup_lines", "at_most", 30, "n_lines"),
+    Threshold("repeated_lines", "n_dup_lines", "at_most", 40, "n_lines"),
     Threshold("cut_lines", "n_cut_lines", "at_most", 30, "n_lines"),
     Threshold("bullet_lines", "n_bullet_lines", "at_most", 90, "n_lines"),
 )
