@@ -16,7 +16,8 @@ of the most frequent kinds of element, ``KINDS`` at most, reach the driver.  Kin
 without counts have the weights of the priors below.
 
 Defined results: NULL, empty and text-free pages give an empty text; broken
-markup never fails (an unclosed script or comment runs to the end); repeated
+markup never fails (an unclosed script, style, title, textarea, noscript, iframe or
+comment runs to the end; of other unclosed elements only the tag goes); repeated
 rows are read alike; of stretches with equal sums the first and longest is
 taken; a NULL id stays NULL; other columns are ignored; an empty table gives an
 empty result.
@@ -38,10 +39,12 @@ from sievemart.llm.common import ship_code
 KINDS = 4096
 
 # Roles of elements in the public HTML vocabulary.
-RAW = "script style noscript template iframe object svg math canvas title textarea".split()
+RAW = "script style noscript iframe title textarea".split()
+DROPPED = "template object svg canvas".split()  # with what they hold, if they are closed
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 INLINE = (
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt"
+    " math mi mn mo ms mtext mrow mfrac msqrt mroot msup msub msubsup munder mover munderover mstyle semantics"
     " ruby s samp small span strike strong sub sup time tt u var wbr"
 ).split()
 NEVER = (
@@ -61,7 +64,7 @@ HOLDERS = frozenset(("html", "body", "article", "main"))
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{'|'.join(RAW)})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs2>[^>]*)>"
     r"|<[!?][^>]*>",
@@ -77,6 +80,18 @@ SKIPPED_COST = 0.001
 INSIDE, OUTSIDE = "inside", "outside"
 
 
+def _closed(html: str, name: str) -> dict[int, int]:
+    """Of each closed element of that name: where its start tag begins and its end tag ends."""
+    ends, open_ = {}, []
+    for found in re.finditer(rf"<(/?){name}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>", html, re.IGNORECASE):
+        if not found[1]:
+            if not (name == "svg" and found[0].endswith("/>")):
+                open_.append(found.start())
+        elif open_:
+            ends[open_.pop()] = found.end()
+    return ends
+
+
 class Run:
     """A stretch of text, or a tag (``text`` is None)."""
 
@@ -108,12 +123,13 @@ def read_runs(html: str) -> tuple[list[Run], int]:
     open_: list[tuple[str, str, bool]] = []  # name, kind, whether inside what is never main text
     block = articles = holders = 0
     at = 0
+    closed: dict[str, dict[int, int]] = {}
 
     def text_run(raw: str) -> None:
         kind, skipped = (open_[-1][1], open_[-1][2]) if open_ else ("", False)
         runs.append(Run(kind, unescape(raw), skipped, holders > 0, block))
 
-    for found in TOKEN.finditer(html):
+    while found := TOKEN.search(html, at):
         if found.start() > at:
             text_run(html[at : found.start()])
         at = found.end()
@@ -123,6 +139,13 @@ def read_runs(html: str) -> tuple[list[Run], int]:
                 block += 1
             continue
         closes = bool(found["close"] or found["close2"])
+        if name in DROPPED:
+            if not closes:
+                if name not in closed:
+                    closed[name] = _closed(html, name)
+                at = closed[name].get(found.start(), at)
+            block += 1
+            continue
         if name in INLINE and name != "label":
             kind, skipped = (open_[-1][1], open_[-1][2]) if open_ else ("", False)
             runs.append(Run(name, None, skipped, holders > 0, block))
