@@ -70,7 +70,7 @@ TOKEN = re.compile(
     r"|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME_PART = re.compile(r"[a-z0-9]+")
 
 OUTSIDE_COST = 4.0
@@ -101,32 +101,38 @@ class Run:
         self.kind, self.text, self.skipped, self.labelled, self.block = kind, text, skipped, labelled, block
 
 
-def _kind(name: str, attrs: str) -> tuple[str, bool]:
-    """The element's kind, by name and classes, and whether it is never main text."""
-    never = name in NEVER
+def _kind(name: str, attrs: str) -> tuple[str, int]:
+    """The element's kind, by name and classes, and whether it is never main text.
+
+    That is 2 by its tag or role, and 1 by a class or id of which every part says so:
+    ``cookie-notice``, but not ``has-sidebar``.
+    """
+    never = 2 if name in NEVER else 0
     kind = name
     if attrs and name not in HOLDERS:
         for key, *values in ATTRIBUTE.findall(attrs):
-            parts = NAME_PART.findall("".join(values).lower())
-            if key.lower() == "role":
-                never = never or not NEVER_ROLE.isdisjoint(parts)
-            else:
-                never = never or not NEVER_CLASS.isdisjoint(parts)
-                if key.lower() == "class" and parts:
-                    kind = f"{name}.{'.'.join(parts[:2])}"
+            key, value = key.lower(), "".join(values).lower()
+            if key == "role":
+                never = never if NEVER_ROLE.isdisjoint(value.split()) else 2
+            elif key in ("class", "id"):
+                parts = [NAME_PART.findall(x) for x in value.split()]
+                if any(x and NEVER_CLASS.issuperset(x) for x in parts):
+                    never = never or 1
+                if key == "class" and (flat := [y for x in parts for y in x]):
+                    kind = f"{name}.{'.'.join(flat[:2])}"
     return kind, never
 
 
 def read_runs(html: str) -> tuple[list[Run], int]:
     """The page as tags and text runs, and how many ``article``/``main`` it has."""
     runs: list[Run] = []
-    open_: list[tuple[str, str, bool]] = []  # name, kind, whether inside what is never main text
+    open_: list[tuple[str, str, int]] = []  # name, kind, whether inside what is never main text
     block = articles = holders = 0
     at = 0
     closed: dict[str, dict[int, int]] = {}
 
     def text_run(raw: str) -> None:
-        kind, skipped = (open_[-1][1], open_[-1][2]) if open_ else ("", False)
+        kind, skipped = (open_[-1][1], open_[-1][2]) if open_ else ("", 0)
         runs.append(Run(kind, unescape(raw), skipped, holders > 0, block))
 
     while found := TOKEN.search(html, at):
@@ -147,14 +153,14 @@ def read_runs(html: str) -> tuple[list[Run], int]:
             block += 1
             continue
         if name in INLINE and name != "label":
-            kind, skipped = (open_[-1][1], open_[-1][2]) if open_ else ("", False)
+            kind, skipped = (open_[-1][1], open_[-1][2]) if open_ else ("", 0)
             runs.append(Run(name, None, skipped, holders > 0, block))
             if name == "br":
                 runs.append(Run(kind, " ", skipped, holders > 0, block))
             elif not closes:
                 own, never = _kind(name, found["attrs"] or found["attrs2"] or "")
                 if never:
-                    open_.append((name, own, True))
+                    open_.append((name, own, max(skipped, never)))
             elif open_ and open_[-1][0] == name:
                 open_.pop()
             continue
@@ -169,15 +175,17 @@ def read_runs(html: str) -> tuple[list[Run], int]:
         kind, never = _kind(name, found["attrs"] or found["attrs2"] or "")
         while open_ and (open_[-1][0] == "p" or open_[-1][0] == name == "li" or open_[-1][0] in HEADINGS and name in HEADINGS):
             open_.pop()
-        within = open_[-1][2] if open_ else False
+        within = open_[-1][2] if open_ else 0
         if name in HEADINGS and within and holders and open_[-1][0] == "header":
-            within = False  # an article's own header holds its heading
+            within = 0  # an article's own header holds its heading
         if name in ("article", "main"):
+            if within == 1 and not holders:
+                within = 0  # a class of the wrapper says less than the page's own mark
             articles += not holders
             holders += 1
-        runs.append(Run(kind, None, within or never, holders > 0, block))
+        runs.append(Run(kind, None, max(within, never), holders > 0, block))
         if name not in VOID:
-            open_.append((name, kind, within or never))
+            open_.append((name, kind, max(within, never)))
     if at < len(html):
         text_run(html[at:])
     return runs, articles

@@ -20,3 +20,17 @@ from sievemart.llm import html_text
 )
 def test_raw_elements_take_no_article_text(html, text):
     assert html_text.main_text(html, {}) == text
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ['class="layout has-sidebar"', 'class="no-sidebar"', 'class="with-nav"', 'id="search-results"', 'class="legal-text"', 'class="widget"', 'data-id="social"'],
+)
+def test_wrappers_do_not_take_the_article(wrapper):
+    assert html_text.main_text(f"<div {wrapper}><article><p>all of it</p></article></div>", {}) == "all of it"
+
+
+def test_attributes_are_read_whole():
+    html = '<p>see <a href="/item?id=5&ref=share">this link</a> <b data-id="social">and this</b></p>'
+    assert html_text.main_text(html, {}) == "see this link and this"
+    assert html_text.main_text('<p>a b</p><div class="cookie-notice">no</div>', {}) == "a b"
