@@ -11,9 +11,11 @@ are left out of the result wherever they stand, so they cost next to nothing and
 do not cut a stretch in two.  What remains is returned block by block.
 
 Labelled pages are those that mark their own content with a single ``article``
-or ``main`` element.  Every such page is counted, in the tasks; only the counts
-of the most frequent kinds of element, ``KINDS`` at most, reach the driver.  Kinds
-without counts have the weights of the priors below.
+or ``main`` element.  Every such page is counted, in the tasks, and no count is
+dropped.  The weights of the most frequent kinds of element, ``KINDS`` at most, are
+sent to the tasks, and as many of bare tags and one of all elements, each over all of
+its kinds: a kind that is not sent has its tag's weight, or that of all elements.
+Without labelled pages the weights are those of the priors below.
 
 Defined results: NULL, empty and text-free pages give an empty text; broken
 markup never fails (an unclosed script, style, title, textarea, noscript, iframe or
@@ -35,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemart.llm.common import ship_code
+from sievemart.session import cut_lineage
 
 KINDS = 4096
 
@@ -197,6 +200,23 @@ def _kind_of(run: Run, marked: bool) -> str:
     return f"{run.kind}{side}" if run.text is None else f"words {run.kind}{side}"
 
 
+def _flushed(seen: Counter[tuple[str, str]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {
+            "kind": pa.array([k for k, _ in seen], pa.string()),
+            "side": pa.array([s for _, s in seen], pa.string()),
+            "seen": pa.array(list(seen.values()), pa.int64()),
+        }
+    )
+
+
+def _broader(kind: str) -> list[str]:
+    """What stands for a kind without a weight of its own: its tag, then all elements."""
+    words = "words " if kind.startswith("words ") else ""
+    name, space, side = kind.removeprefix("words ").partition(" ")
+    return [f"{words}{x}{space}{side}" for x in (f"{name.partition('.')[0]}.*", "*")]
+
+
 def _count_kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words and tags of each kind inside and outside the content of labelled pages."""
     seen: Counter[tuple[str, str]] = Counter()
@@ -213,14 +233,9 @@ def _count_kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for marked in (False, True):
                     seen[_kind_of(run, marked), side] += count
         if len(seen) > 16 * KINDS:
-            seen = Counter(dict(seen.most_common(8 * KINDS)))
-    yield pa.RecordBatch.from_pydict(
-        {
-            "kind": pa.array([k for k, _ in seen], pa.string()),
-            "side": pa.array([s for _, s in seen], pa.string()),
-            "seen": pa.array(list(seen.values()), pa.int64()),
-        }
-    )
+            yield _flushed(seen)
+            seen.clear()
+    yield _flushed(seen)
 
 
 def learn_weights(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
@@ -229,13 +244,19 @@ def learn_weights(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
     counts = pages.select(F.col(html_col).alias("html")).mapInArrow(
         _count_kinds, "kind string, side string, seen long"
     )
+    # A kind is "[words ]tag[.class[.class]][ side]"; its tag and all elements stand beside it.
+    named = r"^(words )?([^ .]*)(\.[^ ]*)?"
     per_kind = counts.groupBy("kind").agg(
         F.sum(F.when(F.col("side") == INSIDE, F.col("seen"))).alias(INSIDE),
         F.sum(F.when(F.col("side") == OUTSIDE, F.col("seen"))).alias(OUTSIDE),
     )
-    total = F.coalesce(INSIDE, F.lit(0)) + F.coalesce(OUTSIDE, F.lit(0))
-    top = per_kind.orderBy(total.desc(), "kind").limit(KINDS).collect()
-    return {r["kind"]: _weight(r["kind"], r[INSIDE] or 0, r[OUTSIDE] or 0) for r in top}
+    per_kind = cut_lineage(per_kind)
+    found = []
+    for kind in (F.col("kind"), F.regexp_replace("kind", named, "$1$2.*"), F.regexp_replace("kind", named, "$1*")):
+        summed = per_kind.groupBy(kind.alias("kind")).agg(F.sum(INSIDE).alias(INSIDE), F.sum(OUTSIDE).alias(OUTSIDE))
+        total = F.coalesce(INSIDE, F.lit(0)) + F.coalesce(OUTSIDE, F.lit(0))
+        found += summed.orderBy(total.desc(), "kind").limit(KINDS).collect()
+    return {r["kind"]: _weight(r["kind"], r[INSIDE] or 0, r[OUTSIDE] or 0) for r in found}
 
 
 def _weight(kind: str, inside: float, outside: float) -> float:
@@ -270,7 +291,8 @@ def main_text(html: str, weights: dict[str, float]) -> str:
             continue
         kind = _kind_of(run, articles > 0)
         if kind not in weights:
-            weights[kind] = _weight(kind, 0, 0)
+            known = next((weights[k] for k in _broader(kind) if k in weights), None)
+            weights[kind] = _weight(kind, 0, 0) if known is None else known
         scores.append(size * weights[kind])
     start, end = best_stretch(scores)
     blocks: dict[int, list[str]] = {}
