@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from sievemart.llm import (
     decontaminate,
     fm_substrings,
+    hard_negatives,
     html_text,
     packing,
     quality,
     sharding,
     simhash_dedup,
+    token_alignment,
     token_counts,
     url_rules,
     warc_fixity,
@@ -95,6 +97,18 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op12_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    shifted = (F.col("label") + 1) % 10
+    label = F.when(F.col("vec_id") % 7 == 0, shifted).otherwise(F.col("label"))
+    one_in = hard_negatives.ANCHOR_ONE_IN
+    return hard_negatives.mine_negatives(vectors.withColumn("label", label), F.col("vec_id") % one_in == 0)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_two_fit": op1_best_two_fit,
     "op2_vector_sharding": op2_vector_sharding,
@@ -106,4 +120,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_fm_substrings": op9_fm_substrings,
     "op10_url_rules": op10_url_rules,
+    "op12_angular_negatives": op12_angular_negatives,
+    "op13_token_alignment": op13_token_alignment,
 }

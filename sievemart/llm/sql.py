@@ -149,10 +149,36 @@ SELECT page_id, CASE WHEN other IS NULL THEN 'missing' ELSE 'changed' END AS kin
 FROM found"""
 
 
+def _negatives() -> str:
+    return """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id AS other, a.label = v.label AS same,
+    CAST(list_inner_product(a.q, v.q) AS BIGINT) AS score
+  FROM v a JOIN v ON a.vec_id <> v.vec_id
+  WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS rank
+  FROM positives JOIN scores USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 3"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": _leaks(),
     "op4_merkle_fixity": _fixity(),
     "op8_quality_rules": _quality(),
     "op9_fm_substrings": _substrings(),
     "op10_url_rules": _urls(),
+    "op12_angular_negatives": _negatives(),
 }
