@@ -153,10 +153,10 @@ def _negatives() -> str:
     return """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
   FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scores AS (
   SELECT a.vec_id AS anchor_id, v.vec_id AS other, a.label = v.label AS same,
     CAST(list_inner_product(a.q, v.q) AS BIGINT) AS score
