@@ -35,7 +35,7 @@ from sievemart.llm.tokens import RankEncoder, default_ranks
 from sievemart.session import cut_lineage
 
 #: Tokens of both sides in one piece of the merge.
-PIECE_WORK = 1 << 14
+PIECE_WORK = 1 << 16
 #: Id pairs in the broadcast table; 24 bytes each.
 TABLE_PAIRS = 1 << 18
 #: Links that a counting task holds before it hands on their sums.
@@ -46,7 +46,7 @@ _ALIGNED = schema_of(
     {"n_a": _LONG, "n_b": _LONG, "n_groups": _LONG, "n_links": _LONG, "groups_sha256": _TEXT}
     | {"_pairs": _LONGS, "_times": _LONGS}
 )
-_PIECE = schema_of({"_piece": IntegerType(), "_a": _INTS, "_b": _INTS, "_a_ends": _LONGS, "_b_ends": _LONGS})
+_PIECE = schema_of({"_piece": IntegerType(), "_a": _INTS, "_b": _INTS, "_a_start": _LONG, "_b_start": _LONG})
 _MERGED = schema_of(
     {"_piece": IntegerType(), "_n_a": _LONG, "_n_b": _LONG, "_shared": _LONG, "_body": _TEXT}
     | {name: _TEXT for name in ("_head_a", "_head_b", "_tail_a", "_tail_b")}
@@ -156,17 +156,34 @@ def _decimal(ids: np.ndarray) -> str:
     return ",".join(map(str, ids.tolist()))
 
 
+class _Texts:
+    """Ids as text, each with what may follow it: ``,``, ``|`` or ``;``."""
+
+    _size = 0
+    _table = np.empty(0, dtype=object)
+
+    @classmethod
+    def upto(cls, size: int) -> tuple[np.ndarray, int]:
+        if size > cls._size:
+            cls._size = max(size, 2 * cls._size)
+            cls._table = np.array([f"{i}{mark}" for mark in ",|;" for i in range(cls._size)], dtype=object)
+        return cls._table, cls._size
+
+
 def group_text(a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray) -> str:
     """``a1,a2|b1;a3|b2`` for whole groups, which end at the places ``in_a``, ``in_b``."""
     if not len(in_a):
         return ""
-    a, b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    for side, mark, ends in ((a, "|", in_a), (b, ";", in_b)):
-        last = set(ends.tolist())
-        side[:] = [x + mark if i in last else x + "," for i, x in enumerate(side)]
-    group = [np.searchsorted(ends, np.arange(len(side))) * 2 + k for k, (ends, side) in enumerate(((in_a, a), (in_b, b)))]
-    both = np.array(a + b, dtype=object)
-    return "".join(both[np.argsort(np.concatenate(group), kind="stable")].tolist())[:-1]
+    table, size = _Texts.upto(int(max(a.max(), b.max())) + 1)
+    a, b = a.copy(), b.copy()
+    a[in_a] += size
+    b[in_b] += 2 * size
+    # A token comes after those before it on its side and the other side's of earlier
+    # groups, for ``b`` also of its own group.
+    out = np.empty(len(a) + len(b), dtype=np.int64)
+    out[np.arange(len(a)) + np.repeat(np.append(0, in_b[:-1] + 1), np.diff(in_a, prepend=-1))] = a
+    out[np.arange(len(b)) + np.repeat(in_a + 1, np.diff(in_b, prepend=-1))] = b
+    return "".join(table[out].tolist())[:-1]
 
 
 def _links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,7 +216,8 @@ def _encoded(ranks: str, model: str, work: int):
                     cut_a, cut_b = merge_cuts(a_ends, b_ends, work)
                     for n in range(len(cut_a) - 1):
                         of_a, of_b = slice(cut_a[n], cut_a[n + 1]), slice(cut_b[n], cut_b[n + 1])
-                        put(place, (None,) * 7, (n, a[of_a], b[of_b], a_ends[of_a], b_ends[of_b]))
+                        starts = (int(e[c[n] - 1]) if c[n] else 0 for e, c in ((a_ends, cut_a), (b_ends, cut_b)))
+                        put(place, (None,) * 7, (n, a[of_a], b[of_b], *starts))
                     continue
                 in_a, in_b = shared_ends(a_ends, b_ends)
                 digest = hashlib.sha256(group_text(a, b, in_a, in_b).encode()).hexdigest()
@@ -208,40 +226,54 @@ def _encoded(ranks: str, model: str, work: int):
             kept = pa.array(at, pa.int64())
             columns = [batch.column("_row").take(kept), batch.column("_id").take(kept)]
             kinds = [pa.int64()] * 4 + [pa.string()] + [pa.list_(pa.int64())] * 2
-            kinds += [pa.int32(), *[pa.list_(pa.int32())] * 2, *[pa.list_(pa.int64())] * 2]
+            kinds += [pa.int32(), *[pa.list_(pa.int32())] * 2, *[pa.int64()] * 2]
             columns += [pa.array(x, kind) for x, kind in zip(out[2:], kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=fields)
 
     return encode
 
 
-def _merge_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merged(ranks: str, model: str):
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        aligner = _Aligner.load(ranks, model)
+        for batch in batches:
+            yield _merge_pieces(batch, aligner)
+
+    return merge
+
+
+def _merge_pieces(batch: pa.RecordBatch, aligner: _Aligner) -> pa.RecordBatch:
     """Each piece's links, whole groups, and open ends."""
-    for batch in batches:
-        out: dict[str, list] = {name: [] for name in _MERGED.names[1:]}
-        sides = [batch.column(x) for x in ("_a", "_b", "_a_ends", "_b_ends")]
-        for row in range(batch.num_rows):
-            a, b, a_ends, b_ends = (np.array(x[row].as_py(), dtype=np.int64) for x in sides)
-            in_a, in_b = shared_ends(a_ends, b_ends)
-            pairs, times = _links(a[in_a], b[in_b])
-            first_a, first_b = (in_a[0] + 1, in_b[0] + 1) if len(in_a) else (len(a), len(b))
-            last_a, last_b = (in_a[-1] + 1, in_b[-1] + 1) if len(in_a) else (len(a), len(b))
-            body = group_text(
-                a[first_a:last_a], b[first_b:last_b], in_a[1:] - first_a, in_b[1:] - first_b
-            )
-            made = (len(a), len(b), len(in_a), body, _decimal(a[:first_a]), _decimal(b[:first_b]),
-                    _decimal(a[last_a:]), _decimal(b[last_b:]), pairs, times)
-            for column, value in zip(out.values(), made, strict=True):
-                column.append(value)
-        kinds = [pa.int64()] * 3 + [pa.string()] * 5 + [pa.list_(pa.int64())] * 2
-        columns = [batch.column(x) for x in ("_row", "_id", "_piece")]
-        columns += [pa.array(x, kind) for x, kind in zip(out.values(), kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays(columns, names=["_row", "_id", *_MERGED.names])
+    out: dict[str, list] = {name: [] for name in _MERGED.names[1:]}
+    sides, starts = ([batch.column(x) for x in names] for names in (("_a", "_b"), ("_a_start", "_b_start")))
+    for row in range(batch.num_rows):
+        a, b = (x[row].values.to_numpy().astype(np.int64) for x in sides)
+        a_ends, b_ends = (e + x[row].as_py() for e, x in zip(aligner.ends(a, b), starts, strict=True))
+        in_a, in_b = shared_ends(a_ends, b_ends)
+        pairs, times = _links(a[in_a], b[in_b])
+        first_a, first_b = (in_a[0] + 1, in_b[0] + 1) if len(in_a) else (len(a), len(b))
+        last_a, last_b = (in_a[-1] + 1, in_b[-1] + 1) if len(in_a) else (len(a), len(b))
+        body = group_text(
+            a[first_a:last_a], b[first_b:last_b], in_a[1:] - first_a, in_b[1:] - first_b
+        )
+        made = (len(a), len(b), len(in_a), body, _decimal(a[:first_a]), _decimal(b[:first_b]),
+                _decimal(a[last_a:]), _decimal(b[last_b:]), pairs, times)
+        for column, value in zip(out.values(), made, strict=True):
+            column.append(value)
+    kinds = [pa.int64()] * 3 + [pa.string()] * 5 + [pa.list_(pa.int64())] * 2
+    columns = [batch.column(x) for x in ("_row", "_id", "_piece")]
+    columns += [pa.array(x, kind) for x, kind in zip(out.values(), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=["_row", "_id", *_MERGED.names])
 
 
 def _stitch(pieces: pa.Table) -> pa.Table:
     """One text's pieces, which together are as long as the text, as one row."""
-    rows = pieces.sort_by("_piece").to_pylist()
+    pieces = pieces.sort_by("_piece")
+    pairs, times = (
+        pieces.column(x).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        for x in ("_pairs", "_times")
+    )
+    rows = pieces.drop_columns(["_pairs", "_times"]).to_pylist()
     digest, started = hashlib.sha256(), False
     open_a: list[str] = []
     open_b: list[str] = []
@@ -256,8 +288,6 @@ def _stitch(pieces: pa.Table) -> pa.Table:
         started = True
         open_a = [row["_tail_a"]] if row["_tail_a"] else []
         open_b = [row["_tail_b"]] if row["_tail_b"] else []
-    pairs = np.array([x for row in rows for x in row["_pairs"]], dtype=np.int64)
-    times = np.array([x for row in rows for x in row["_times"]], dtype=np.int64)
     distinct, place = np.unique(pairs, return_inverse=True)
     shared = sum(row["_shared"] for row in rows)
     columns = [pieces.column("_row").slice(0, 1), pieces.column("_id").slice(0, 1)]
@@ -319,11 +349,11 @@ def align_texts(
     )
     keys = {c: rows.schema[c].dataType for c in ("_row", "_id")}
     schema = schema_of(keys, StructType(_ALIGNED.fields + _PIECE.fields))
-    encode = _encoded(ranks or default_ranks(), model or default_pieces(), work)
-    stored = cut_lineage(rows.mapInArrow(encode, schema))
+    files = ranks or default_ranks(), model or default_pieces()
+    stored = cut_lineage(rows.mapInArrow(_encoded(*files, work), schema))
     whole = stored.filter(F.col("_piece").isNull()).select("_row", "_id", *_ALIGNED.names)
     pieces = stored.filter(F.col("_piece").isNotNull()).select("_row", "_id", *_PIECE.names)
-    merged = pieces.repartition("_row", "_piece").mapInArrow(_merge_pieces, schema_of(keys, _MERGED))
+    merged = pieces.repartition("_row", "_piece").mapInArrow(_merged(*files), schema_of(keys, _MERGED))
     stitched = merged.groupBy("_row").applyInArrow(_stitch, schema_of(keys, _ALIGNED))
     return whole.unionByName(cut_lineage(stitched))
 
