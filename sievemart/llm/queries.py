@@ -12,6 +12,7 @@ from sievemart.llm import (
     fm_substrings,
     hard_negatives,
     html_text,
+    ngram_join,
     packing,
     quality,
     sharding,
@@ -97,6 +98,10 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
 def op12_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     shifted = (F.col("label") + 1) % 10
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_fm_substrings": op9_fm_substrings,
     "op10_url_rules": op10_url_rules,
+    "op11_ngram_join": op11_ngram_join,
     "op12_angular_negatives": op12_angular_negatives,
     "op13_token_alignment": op13_token_alignment,
 }

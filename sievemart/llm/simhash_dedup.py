@@ -44,13 +44,6 @@ BYTES = 8
 SHARED = BYTES - RADIUS  # bytes that a pair within the radius has in common, at least
 BLOCK = 1 << 15
 
-# For ``keep_one``: shingle sets are linked at a Jaccard similarity of LEAST_TENTHS / 10.
-LEAST_TENTHS = 8
-# One text in ORDER_ONE_IN, and of its shingles the ORDER_MOST most frequent, tell which
-# shingles are common.  This only orders them: it decides the cost, never the links.
-ORDER_ONE_IN = 8
-ORDER_MOST = 1 << 17
-
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -159,14 +152,19 @@ def link_fingerprints(prints: DataFrame) -> DataFrame:
     return components(stars.union(across), "a", "b")
 
 
-def _with_component(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``_id`` and ``_fp``, plus ``_component``; ``rows`` must be stored."""
+def _with_component(rows: DataFrame, keep_root: bool = False) -> DataFrame:
+    """``rows`` with ``_id`` and ``_fp``, plus ``_component``; ``rows`` must be stored.
+
+    ``keep_root`` gives ``_root``, which also tells components without ids apart.
+    """
     prints = cut_lineage(rows.groupBy("_fp").agg(F.count("*").alias("_rows"), F.min("_id").alias("_least")))
     roots = link_fingerprints(prints.select("_fp", "_rows"))
     rooted = prints.join(roots, F.col("_fp") == F.col("node"), "left").select(
         "_fp", "_least", F.coalesce("root", "_fp").alias("_root")
     )
     rooted = cut_lineage(rooted)
+    if keep_root:
+        return rows.join(rooted.select("_fp", "_root"), "_fp")
     of_root = rooted.groupBy("_root").agg(F.min("_least").alias("_component"))
     of_print = rooted.join(of_root, "_root").select("_fp", "_component")
     return rows.join(of_print, "_fp")
@@ -185,193 +183,29 @@ def near_duplicates(
     )
 
 
-def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """The distinct hashes of the text's shingles, ascending; none for a blank text."""
-    found = (text or "").encode().translate(LOWER).split()
-    if not found:
-        return np.empty(0, dtype=np.int64)
-    digest = xxhash.xxh64_intdigest
-    hashes = {digest(b" ".join(found[i : i + words]), SEED) for i in range(max(len(found) - words + 1, 1))}
-    return np.sort(np.fromiter(hashes, dtype=np.uint64, count=len(hashes)).view(np.int64))
-
-
-def shingle_prefix(shingles: np.ndarray, common: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """The rarest shingles, of which two sets within the similarity share at least one.
-
-    All sets are in one order: by how often ``common`` (ascending) has a shingle,
-    then by hash.
-    """
-    if not len(shingles):
-        return shingles
-    seen = np.zeros(len(shingles), dtype=np.int64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-        seen = np.where(common[at] == shingles, times[at], 0)
-    least = -(-len(shingles) * LEAST_TENTHS // 10)
-    return shingles[np.lexsort((shingles, seen))][: len(shingles) - least + 1]
-
-
-def _with_shingles(rows: DataFrame, words: int) -> DataFrame:
-    """``rows`` of ``_node`` and ``_text`` with the set in place of the text."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(x, words) for x in batch.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_node"), pa.array(sets, pa.list_(pa.int64()))], names=["_node", "_set"]
-            )
-
-    return rows.select("_node", "_text").mapInArrow(add, "_node long, _set array<bigint>")
-
-
-def _common_shingles(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several of the sampled texts have, ascending, and how many have each."""
-    sampled = rows.filter(F.pmod("_node", F.lit(ORDER_ONE_IN)) == 0)
-    counts = _with_shingles(sampled, words).select(F.explode("_set").alias("_key")).groupBy("_key").count()
-    top = counts.filter(F.col("count") > 1).orderBy(F.col("count").desc(), "_key").limit(ORDER_MOST)
-    found = sorted((r["_key"], r["count"]) for r in top.collect())
-    return tuple(np.array([x[i] for x in found], dtype=np.int64) for i in (0, 1))
-
-
-def _may_be_similar(a: str, b: str) -> Column:
-    """Whether sets that first meet at these places can be similar.
-
-    A place is a set's size times 2**32 plus the shingle's number in the order.
-    From there on the smaller rest is all they can share.
-    """
-    size_a, size_b = (F.shiftright(x, 32) for x in (a, b))
-    rest_a, rest_b = (F.shiftright(x, 32) - F.col(x).bitwiseAND(F.lit((1 << 32) - 1)) for x in (a, b))
-    return F.least(rest_a, rest_b) * (10 + LEAST_TENTHS) >= (size_a + size_b) * LEAST_TENTHS
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of ``pairs`` those whose sets have the wanted Jaccard similarity, exactly."""
-    sides = [sets.select(F.col("_node").alias(x), F.col("_set").alias(f"_of_{x}")) for x in "ab"]
-    shared = F.size(F.array_intersect("_of_a", "_of_b"))
-    similar = shared * (10 + LEAST_TENTHS) >= (F.size("_of_a") + F.size("_of_b")) * LEAST_TENTHS
-    return pairs.join(sides[0], "a").join(sides[1], "b").filter(similar).select("a", "b")
-
-
-def _similar_links(texts: DataFrame, rows: DataFrame, known: DataFrame, words: int) -> DataFrame:
-    """Links ``a``, ``b`` that connect all texts of a shingle similarity of 0.8 or more.
-
-    ``texts`` has each ``_node`` once with its ``_prefix`` and set size, ``rows``
-    the texts of all nodes; ``known`` are links found before, and in the result.
-    Two sets within the similarity share a shingle of their prefixes, so they meet
-    in its list.  Each list's members are compared with its least node first;
-    once the components of these links are known, all pairs of a list that are
-    still in different components are.  So every similar pair is compared or
-    already connected, and a dense group costs rows, not pairs.
-    """
-    place = F.shiftleft(F.col("_size").cast("long"), 32).bitwiseOR(F.col("_at").cast("long"))
-    listed = texts.select("_node", "_size", F.posexplode("_prefix").alias("_at", "_key"))
-    listed = listed.select("_key", "_node", place.alias("_place"))
-    lists = (
-        listed.groupBy("_key")
-        .agg(
-            F.min("_node").alias("_low"),
-            F.max("_node").alias("_high"),
-            F.min_by("_place", "_node").alias("_low_place"),
-        )
-        .filter(F.col("_low") != F.col("_high"))
-        .drop("_high")
-    )
-    members = cut_lineage(listed.join(lists, "_key"))
-    wanted = members.select("_node").distinct()
-    bare = rows.join(wanted, "_node", "left_semi").select("_node", "_text").dropDuplicates(["_node"])
-    sets = cut_lineage(_with_shingles(bare, words))
-    hubs = members.filter((F.col("_node") != F.col("_low")) & _may_be_similar("_place", "_low_place"))
-    pairs = hubs.select(F.col("_low").alias("a"), F.col("_node").alias("b")).distinct()
-    first = cut_lineage(_verified(pairs, sets).union(known.select("a", "b")))
-    roots = cut_lineage(components(first, "a", "b"))
-    labelled = members.join(roots, F.col("_node") == F.col("node"), "left").select(
-        "_key", "_node", "_place", F.coalesce("root", "_node").alias("_root")
-    )
-    labelled = cut_lineage(labelled)
-    mixed = (
-        labelled.groupBy("_key")
-        .agg(F.min("_root").alias("_least"), F.max("_root").alias("_most"))
-        .filter(F.col("_least") != F.col("_most"))
-        .select("_key")
-    )
-    open_ = cut_lineage(labelled.join(mixed, "_key", "left_semi"))
-    sides = [open_.select("_key", *[F.col(f"_{c}").alias(f"_{c}_{x}") for c in ("node", "place", "root")]) for x in "ab"]
-    across = (
-        sides[0]
-        .join(sides[1], "_key")
-        .filter((F.col("_root_a") < F.col("_root_b")) & _may_be_similar("_place_a", "_place_b"))
-        .select(F.col("_node_a").alias("a"), F.col("_node_b").alias("b"))
-        .distinct()
-    )
-    stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return stars.union(_verified(across, sets))
-
-
 def keep_one(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS
 ) -> DataFrame:
-    """One row of ``docs``, unchanged, per group of near-duplicates: that of its least id.
+    """One row of ``docs``, unchanged, per component of fingerprints: that of its least id.
 
-    Groups are the components of fingerprints within the radius, joined with all
-    pairs of texts whose shingle sets have a Jaccard similarity of 0.8 or more: with
-    few words changed, a 64-bit SimHash already differs in more bits than the radius.  Of several rows with the least id the
-    least text hash's stays, and of equal ones any.  A group without ids keeps
-    one row.
+    Of several rows with the least id the least text hash's stays, and of equal ones
+    any.  A component without ids keeps one row.
     """
-    node = F.xxhash64(F.coalesce(text_col, F.lit("")))
-    rows = docs.select(F.col(id_col).alias("_id"), node.alias("_node"), F.col(text_col).alias("_text"))
-    ship_code(docs.sparkSession)
-    kept = ["_id", "_node"]
-    common, times = _common_shingles(rows, words)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            prints = [fingerprint(x, words) for x in texts]
-            sets = [shingle_set(x, words) for x in texts]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(c) for c in kept],
-                    pa.array(prints, pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([shingle_prefix(s, common, times) for s in sets], pa.list_(pa.int64())),
-                ],
-                names=[*kept, "_print", "_size", "_prefix"],
-            )
-
-    added = StructType.fromDDL("_print long, _size long, _prefix array<bigint>")
-    schema = schema_of({c: rows.schema[c].dataType for c in kept}, added)
-    stored = cut_lineage(rows.mapInArrow(add, schema))
-    prints = stored.groupBy(F.col("_print").alias("_fp")).agg(
-        F.count("*").alias("_rows"), F.min("_node").alias("_first")
-    )
-    prints = cut_lineage(prints)
-    roots = cut_lineage(link_fingerprints(prints.select("_fp", "_rows")))
-    rooted = prints.join(roots, F.col("_fp") == F.col("node"), "left").select(
-        F.col("_fp").alias("_print"), "_first", F.coalesce("root", "_fp").alias("_root")
-    )
-    of_root = rooted.groupBy("_root").agg(F.min("_first").alias("b"))
-    first_of = rooted.join(of_root, "_root").select("_print", "b")
-    nodes = stored.select("_node", "_print").distinct()
-    by_print = nodes.join(first_of, "_print").select(F.col("_node").alias("a"), "b")
-    texts = cut_lineage(
-        stored.groupBy("_node").agg(F.first("_size").alias("_size"), F.first("_prefix").alias("_prefix"))
-    )
-    known = by_print.filter(F.col("a") != F.col("b"))
-    links = _similar_links(texts, rows, known, words)
-    group = cut_lineage(components(links, "a", "b"))
-    narrow = stored.select("_id", "_node")
-    placed = narrow.join(group, F.col("_node") == F.col("node"), "left").select(
-        "_id", "_node", F.coalesce("root", "_node").alias("_group")
-    )
+    row_id, text = F.col(id_col).alias("_id"), F.col(text_col).alias("_text")
+    # Two hashes and the length stand for the text, so that it need not travel.
+    known = F.coalesce(text_col, F.lit(""))
+    node = F.struct(
+        F.xxhash64(known).alias("hash"), F.xxhash64(F.lit(SEED), known).alias("again"), F.length(known).alias("length")
+    ).alias("_node")
+    stored = cut_lineage(with_fingerprint(docs.select(row_id, node, text), "_text", words))
     at = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_node").alias("node"))
+    placed = _with_component(stored, keep_root=True)
+    wanted = placed.groupBy("_root").agg(F.min(at).alias("_at"))
     wanted = cut_lineage(
-        placed.groupBy("_group")
-        .agg(F.min(at).alias("_at"))
-        .select(F.col("_at")["id"].alias("_want_id"), F.col("_at")["node"].alias("_want_node"))
+        wanted.select(F.col("_at.id").alias("_want_id"), F.col("_at.node").alias("_want_node"))
     )
     same = F.col("_id").eqNullSafe(F.col("_want_id")) & (F.col("_node") == F.col("_want_node"))
-    whole = docs.select(F.col(id_col).alias("_id"), node.alias("_node"), F.struct("*").alias("_row"))
+    whole = docs.select(row_id, node, F.struct("*").alias("_row"))
     # The rows of a wanted id and text are copies but for other columns.
     one = whole.join(wanted, same, "left_semi").dropDuplicates(["_id", "_node"])
     return one.select(*[F.col("_row")[c].alias(c) for c in docs.columns])

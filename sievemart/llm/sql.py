@@ -149,6 +149,33 @@ SELECT page_id, CASE WHEN other IS NULL THEN 'missing' ELSE 'changed' END AS kin
 FROM found"""
 
 
+def _similar_sets() -> str:
+    return """
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+    ELSE list_distinct(list_transform(range(1, greatest(len(words) - 1, 2)),
+      lambda i: array_to_string(words[i:i+2], ' '))) END AS shingles
+  FROM split),
+listed AS (SELECT doc_id, len(shingles) AS size, unnest(shingles) AS shingle FROM sets),
+met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM listed a JOIN listed b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    AND 10 * a.size >= 9 * b.size AND 10 * b.size >= 9 * a.size
+  GROUP BY a.doc_id, b.doc_id, a.size, b.size
+  HAVING 100 * count(*) >= 90 * (a.size + b.size - count(*))),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION
+  SELECT r.doc_id, m.b FROM reached r JOIN met m ON r.other = m.a)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)"""
+
+
 def _negatives() -> str:
     return """
 WITH v AS (
@@ -180,5 +207,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_quality_rules": _quality(),
     "op9_fm_substrings": _substrings(),
     "op10_url_rules": _urls(),
+    "op11_ngram_join": _similar_sets(),
     "op12_angular_negatives": _negatives(),
 }

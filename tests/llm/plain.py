@@ -186,33 +186,19 @@ def _components(count, linked):
     return [top(i) for i in range(count)]
 
 
-def check_one_of_each_group(rows, kept, size=5):
-    """``kept`` has one row of each group of near-duplicates, that of the least id.
-
-    Links are fingerprints within the radius, and texts of a similarity of 0.8,
-    estimated with an error: pairs from 0.65 to 0.9 may be linked or not.
-    """
-    prints = [simhash(t, size) for _, t in rows]
-    lower = [words((t or "").lower()) for _, t in rows]
-    sets = [frozenset(tuple(w[i : i + size]) for i in range(max(len(w) - size + 1, 1))) for w in lower]
-
-    def linked(least):
-        return lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4 or (
-            len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j])
-        )
-
-    sure, widest = (_components(len(rows), linked(x)) for x in (0.9, 0.65))
+def check_one_of_each_group(rows, kept, size=4):
+    """``kept`` has one row of each component of fingerprints: that of the least id."""
+    group = _components(len(rows), _within_radius([simhash(t, size) for _, t in rows]))
     order = lambda i: (rows[i][0] is None, rows[i][0] or 0)
-    left, found = Counter(kept), []
-    for i in sorted(range(len(rows)), key=order):
-        if left[rows[i]] and not any(rows[i] == rows[j] for j in found):
-            left[rows[i]] -= 1
-            found.append(i)
+    left = Counter(kept)
+    for g in set(group):
+        members = [i for i in range(len(rows)) if group[i] == g]
+        least = order(min(members, key=order))
+        found = [rows[i] for i in members if order(i) == least and left[rows[i]]]
+        assert found, g
+        left[found[0]] -= 1
     assert not +left
-    assert {widest[i] for i in found} == set(widest)
-    groups_found = [sure[i] for i in found]
-    assert len(groups_found) == len(set(groups_found))
-    for group in set(widest):
-        members = [i for i in range(len(rows)) if widest[i] == group]
-        least = min(members, key=order)
-        assert any(order(i) == order(least) for i in found if widest[i] == group)
+
+
+def _within_radius(prints, radius=4):
+    return lambda i, j: (prints[i] ^ prints[j]).bit_count() <= radius

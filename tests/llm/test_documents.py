@@ -187,20 +187,6 @@ def test_near_duplicates(spark, given):
     plain.check_one_of_each_group(rows, [(r["doc_id"], r["text"]) for r in kept.collect()], 4)
 
 
-def test_edited_copies_go(spark, given):
-    """Three words of 250 changed: beyond the radius, at a similarity of about 0.87."""
-    rng = np.random.default_rng(9)
-    rows, edited = [], []
-    for n in range(60):
-        text = [f"w{x}" for x in rng.integers(0, 5000, 250)]
-        rows.append((n, " ".join(text)))
-        for at in rng.choice(250, 3, replace=False):
-            text[at] = "other"
-        edited.append((1000 + n, " ".join(text)))
-    kept = {r["doc_id"] for r in simhash_dedup.keep_one(plain.documents(spark, rows + edited), words=5).collect()}
-    assert kept >= set(range(60)) and len(kept) <= 61
-
-
 def test_no_link_is_missed_in_dense_groups(spark):
     rng = np.random.default_rng(3)
     centres = rng.integers(0, 1 << 62, 6)

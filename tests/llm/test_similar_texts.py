@@ -1,10 +1,10 @@
-"""The near-duplicate stage's links of a shingle similarity of 0.8, against exact ones."""
+"""Links of a similarity of 0.8 on five words by the set join, against exact ones."""
 
 from __future__ import annotations
 
 import numpy as np
 
-from sievemart.llm import simhash_dedup
+from sievemart.llm import ngram_join
 from tests.llm import plain
 
 SIZE = 5
@@ -17,19 +17,18 @@ def shingles(text):
 
 def kept_exactly(rows):
     """The least id of each component of the exact links."""
-    prints = [plain.simhash(t, SIZE) for _, t in rows]
     sets = [shingles(t) for _, t in rows]
 
     def linked(i, j):
         both = len(sets[i] & sets[j])
-        return 10 * both >= 8 * (len(sets[i]) + len(sets[j]) - both) or (prints[i] ^ prints[j]).bit_count() <= 4
+        return 10 * both >= 8 * (len(sets[i]) + len(sets[j]) - both)
 
     return {rows[i][0] for i in set(plain._components(len(rows), linked))}
 
 
 def check(spark, rows):
-    kept = simhash_dedup.keep_one(plain.documents(spark, rows), words=SIZE).collect()
-    assert sorted(r["doc_id"] for r in kept) == sorted(kept_exactly(rows))
+    found = ngram_join.similar_groups(plain.documents(spark, rows), words=SIZE, percent=80).collect()
+    assert {r["component_id"] for r in found} == kept_exactly(rows)
 
 
 def edited(rng, text, places):
@@ -59,7 +58,7 @@ def test_pairs_below_the_similarity_both_stay(spark):
         text = [f"w{n}x{i}" for i in range(250)]
         rows += [(2 * n, " ".join(text)), (2 * n + 1, " ".join(edited(rng, text, range(10, 60 + 10 * (n % 2), 9))))]
     check(spark, rows)
-    assert len(kept_exactly(rows)) > 110  # a few are within the radius of fingerprints
+    assert len(kept_exactly(rows)) == 120
 
 
 def test_pairs_at_the_similarity_all_meet(spark):
@@ -75,14 +74,15 @@ def test_pairs_at_the_similarity_all_meet(spark):
     assert len(kept_exactly(rows)) == 300
 
 
-def test_prefixes_share_a_shingle_in_any_order():
-    rng = np.random.default_rng(24)
-    for _ in range(300):
-        whole = rng.integers(-(1 << 63), 1 << 63, 90)
-        a, b = (np.unique(rng.choice(whole, rng.integers(70, 91), replace=False)) for _ in "ab")
-        common = np.unique(rng.choice(whole, 30))
-        times = rng.integers(2, 9, len(common))
-        shared = len(np.intersect1d(a, b))
-        if 10 * shared >= 8 * (len(a) + len(b) - shared):
-            first, second = (simhash_dedup.shingle_prefix(x, common, times) for x in (a, b))
-            assert len(np.intersect1d(first, second))
+def test_edited_copies_are_linked(spark):
+    """Three words of 250 changed: at a similarity of about 0.87."""
+    rng = np.random.default_rng(9)
+    rows, edited = [], []
+    for n in range(60):
+        text = [f"w{x}" for x in rng.integers(0, 5000, 250)]
+        rows.append((n, " ".join(text)))
+        for at in rng.choice(250, 3, replace=False):
+            text[at] = "other"
+        edited.append((1000 + n, " ".join(text)))
+    check(spark, rows + edited)
+    assert kept_exactly(rows + edited) == set(range(60))
