@@ -15,13 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sievemart.llm import decontaminate, fm_substrings, packing, quality, simhash_dedup
 from sievemart.llm.common import table
-from sievemart.session import ensure_checkpoint_dir
+from sievemart.session import ensure_checkpoint_dir, intermediates
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Near-duplicate stages on word shingles take five words.
-SHINGLE_WORDS = 5
-
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
@@ -29,8 +26,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the least id."""
-    return simhash_dedup.keep_one(docs, words=SHINGLE_WORDS)
+    """One document of each group of near-duplicate fingerprints, that of the least id.
+
+    The shingle length and the bit distance are those of the operator's contract.
+    """
+    return simhash_dedup.keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +63,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (name, stage) in enumerate(STAGES):
         path = f"{base}/{number}_{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with intermediates(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
 
