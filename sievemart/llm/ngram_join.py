@@ -165,6 +165,10 @@ _OF_SET = {"_digest": BinaryType(), "_size": LongType(), "_rare": ArrayType(Long
            "_small": ArrayType(LongType()), "_profile": BinaryType()}
 
 
+# Two hashes stand for a text, so that a wanted one is found without Python.
+_TEXT_KEY = ("_hash", "_again")
+
+
 def _describe(words: int, percent: int, shared):
     small = light_sizes(percent)[-1]
 
@@ -179,14 +183,14 @@ def _describe(words: int, percent: int, shared):
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("_id"),
+                    *[batch.column(x) for x in ("_id", *_TEXT_KEY)],
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([rarest(s, common, times, percent).view(np.int64) for s in sets], longs),
                     pa.array([s.view(np.int64) if len(s) <= small else None for s in sets], longs),
                     pa.array([c.tobytes() for c in coarse], pa.binary()),
                 ],
-                names=["_id", *_OF_SET],
+                names=["_id", *_TEXT_KEY, *_OF_SET],
             )
 
     return add
@@ -195,13 +199,9 @@ def _describe(words: int, percent: int, shared):
 def _sets_of(words: int):
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(x, words) for x in batch.column("_text").to_pylist()]
+            sets = [shingle_set(x, words).view(np.int64) for x in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                ],
-                names=["_digest", "_set"],
+                [batch.column("_node"), pa.array(sets, pa.list_(pa.int64()))], names=["_node", "_set"]
             )
 
     return add
@@ -272,11 +272,11 @@ class _Verifier:
         close = cut_lineage(self._close(pairs))
         ends = close.select(F.explode(F.array("a", "b")).alias("_node")).distinct()
         # Stored, so that its size is known: few wanted sets are broadcast, and no text travels.
-        wanted = cut_lineage(self.nodes.select("_node", "_digest").join(ends, "_node"))
+        wanted = cut_lineage(self.nodes.select("_node", "_text_key.*").join(ends, "_node"))
         if wanted.isEmpty():
             return close
-        texts = self.docs.mapInArrow(_sets_of(self.words), "_digest binary, _set array<bigint>")
-        sets = cut_lineage(texts.join(wanted, "_digest").dropDuplicates(["_node"]).select("_node", "_set"))
+        texts = self.docs.join(wanted, list(_TEXT_KEY)).select("_node", "_text").dropDuplicates(["_node"])
+        sets = cut_lineage(texts.mapInArrow(_sets_of(self.words), "_node long, _set array<bigint>"))
         sides = [sets.select(F.col("_node").alias(x), F.col("_set").alias(f"_of_{x}")) for x in "ab"]
         shared = F.size(F.array_intersect("_of_a", "_of_b"))
         similar = shared * (100 + self.percent) >= (F.size("_of_a") + F.size("_of_b")) * self.percent
@@ -363,21 +363,24 @@ def similar_groups(
 ) -> DataFrame:
     """Per row: the id, how many shingles its set has, and its component."""
     ship_code(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    text = F.coalesce(text_col, F.lit(""))
+    hashes = [F.xxhash64(text).alias("_hash"), F.xxhash64(F.lit(1), text).alias("_again")]
+    rows = docs.select(F.col(id_col).alias("_id"), *hashes, text.alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(_common_shingles(rows.select("_text"), words))
-    schema = schema_of({"_id": rows.schema["_id"].dataType} | _OF_SET)
+    kept = {x: rows.schema[x].dataType for x in ("_id", *_TEXT_KEY)}
+    schema = schema_of(kept | _OF_SET)
     stored = cut_lineage(rows.mapInArrow(_describe(words, percent, shared), schema))
     whole = ("_size", "_rare", "_small", "_profile")
     nodes = (
         stored.filter("_size > 0")
         .groupBy("_digest")
-        .agg(F.min("_id").alias("_least"), *[F.first(x).alias(x) for x in whole])
+        .agg(F.min("_id").alias("_least"), F.min(F.struct(*_TEXT_KEY)).alias("_text_key"), *[F.first(x).alias(x) for x in whole])
         .withColumns({"_node": F.monotonically_increasing_id(), "_prefix": _listed_sizes(percent)})
     )
     nodes = cut_lineage(nodes)
     listed = list_sets(nodes, size_boundary(nodes, percent), percent)
     nothing = docs.sparkSession.createDataFrame([], "a long, b long")
-    similar = _Verifier(rows.select("_text"), nodes, words, percent)
+    similar = _Verifier(rows.drop("_id"), nodes, words, percent)
     links = _connect(listed, nothing, nodes, similar, split=True)
     rooted = nodes.join(components(links, "a", "b"), F.col("_node") == F.col("node"), "left").select(
         "_digest", "_least", F.coalesce("root", "_node").alias("_root")
