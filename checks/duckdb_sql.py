@@ -298,6 +298,17 @@ def all_sql() -> dict[str, str]:
         "csv_round_trip": f"{p} SELECT * REPLACE (posting_no::VARCHAR AS posting_no) FROM p",
         "logreg_scored_rows": f"{p} SELECT id, {many_words('test_required')} AS label FROM p"
         " WHERE CAST('0x' || substr(md5('42|' || id), 1, 8) AS BIGINT) % 10000 >= 8000",
+        "distinct_bitmaps": f"{p} SELECT area_name, count(DISTINCT id) AS vac_distinct FROM p GROUP BY area_name",
+        "onehot_features": f"{op}, c AS (SELECT posting_no, {code('salary_currency')} AS code FROM op),"
+        " k AS (SELECT code, row_number() OVER (ORDER BY count(*) DESC, code) - 1 AS idx FROM c"
+        " WHERE code IS NOT NULL GROUP BY code), n AS (SELECT count(*) AS size FROM k)"
+        " SELECT posting_no, coalesce(idx, size)::DOUBLE AS code_index,"
+        " repeat('0', coalesce(idx, size)::INT) || '1' || repeat('0', (size - coalesce(idx, size))::INT) AS onehot"
+        " FROM c LEFT JOIN k USING (code), n",
+        # Five numbers, a place for each code but the last to be left out, and the intercept.
+        "fit_gradient": f"{op} SELECT 6 + count(DISTINCT {code('salary_currency')})"
+        f" + max(CASE WHEN {code('salary_currency')} IS NULL THEN 1 ELSE 0 END) AS coefficients,"
+        " TRUE AS settled FROM op",
         "rank_auc": auc("labels JOIN documents USING (doc_id)", "quality", "n_chars"),
         "rank_auc_ties": auc(
             "lineitem", "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END", "l_quantity"

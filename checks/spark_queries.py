@@ -5,13 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemart import functions as fx
-from sievemart.operators import dedup, grouping, joins, ordering, projection, ranking, split
+from sievemart.operators import bitmaps, dedup, grouping, joins, ordering, projection, ranking, split
 from sievemart.operators.replicate import replicate_rows
-from sievemart.plans import feeds, model, reports, scaling, stage
+from sievemart.plans import code_index, feeds, model, reports, scaling, stage
 from sievemart.session import cut_lineage, ensure_checkpoint_dir
 from sievemart.sources import catalog, files
 from checks.postings import order_postings, postings, read_table
@@ -364,6 +365,16 @@ def count_distinct(spark, sf):
     return grouping.group_distinct(postings(spark, sf), "area_name", "id")
 
 
+@query
+def distinct_bitmaps(spark, sf):
+    """Distinct ids per area, from the bitmaps of two halves of the rows joined."""
+    rows = cut_lineage(postings(spark, sf).select("posting_no", "id", "area_name"))
+    numbered = rows.join(bitmaps.number_items(rows, "id"), "id", "left")
+    halves = [numbered.filter(F.col("posting_no") % 2 == k) for k in (0, 1)]
+    merged = bitmaps.merge_bitmaps(*[bitmaps.item_bitmaps(h, "area_name") for h in halves])
+    return bitmaps.count_bitmaps(merged, "area_name", "vac_distinct")
+
+
 @query
 def group_share(spark, sf):
     return grouping.group_share(postings(spark, sf), "area_name", "test_required")
@@ -653,6 +664,28 @@ def ml_features(spark, sf):
     return model.labelled_features(cleaned(spark, sf), "posting_no")
 
 
+@query
+def onehot_features(spark, sf):
+    """The fitted code index, and its one-hot vector as text."""
+    codes = order_postings(spark, sf).select("posting_no", fx.norm_code("salary_currency").alias("code"))
+    fitted = code_index.CodeIndexer("code", "code_index").fit(codes)
+    places = F.transform(vector_to_array(fitted.one_hot()), lambda x: x.cast("int").cast("string"))
+    return fitted.transform(codes).select("posting_no", "code_index", F.array_join(places, "").alias("onehot"))
+
+
+@query
+def fit_gradient(spark, sf):
+    """How many coefficients the fit has, and whether all gradients of its loss are small."""
+    inputs = ["id", "test_flag", *model.AMOUNTS, "salary_gross", "area_id", "salary_currency"]
+    train, _ = model.split_data(
+        model.labelled_features(cut_lineage(cleaned(spark, sf).select(inputs)), "id")
+    )
+    fitted = model.classifier().fit(train)
+    return model.loss_gradient(fitted, train).agg(
+        F.count("*").alias("coefficients"), (F.max(F.abs("gradient")) < 1e-3).alias("settled")
+    )
+
+
 @query
 def rank_auc(spark, sf):
     scored = read_table(spark, sf, "labels").join(read_table(spark, sf, "documents"), "doc_id")

@@ -77,7 +77,13 @@ def read_catalog(spark: SparkSession, name: str) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {quoted(database)}" if database else "SHOW TABLES")
+    """The tables of a database, or what the session sees by bare names.
+
+    A session's temporary views belong to no database, so a named one has none.
+    """
+    if database is None:
+        return spark.sql("SHOW TABLES")
+    return spark.sql(f"SHOW TABLES IN {quoted(database)}").filter("NOT isTemporary")
 
 
 def run_sql(

@@ -16,7 +16,7 @@ from checks.postings import postings, read_table
 from tests.helpers import plan_of
 
 SF = "/root/testdata/sf0.001"
-EAGER = {"logreg_predictions", "logreg_scored_rows"}
+EAGER = {"logreg_predictions", "logreg_scored_rows", "fit_gradient"}
 
 
 @pytest.mark.parametrize("name", sorted(set(contract.all_queries()) - EAGER))

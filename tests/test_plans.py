@@ -211,6 +211,13 @@ def test_quoted_database_names(spark):
     assert [r.tableName for r in catalog.list_tables(spark, "select").collect()] == ["order"]
 
 
+def test_a_database_lists_no_views(spark):
+    catalog.save_table(spark.range(3), "kept", "listed")
+    catalog.register(spark, {"some_view": spark.range(2)})
+    assert [r.tableName for r in catalog.list_tables(spark, "listed").collect()] == ["kept"]
+    assert "some_view" in [r.tableName for r in catalog.list_tables(spark).collect()]
+
+
 def test_optional_columns_reach_the_model(staged):
     data = model.labelled_features(reports.clean_leniently(staged))
     for name in ("salary_gross_bin", "area_id_num", "address_lat", "label"):
