@@ -299,7 +299,7 @@ def test_model(spark):
     df = reports.clean_leniently(postings(spark, SF))
     fitted, scored = model.fit_and_score(df)
     assert [type(s).__name__ for s in fitted.stages] == [
-        "StringIndexerModel", "OneHotEncoderModel", "VectorAssembler", "LogisticRegressionModel",
+        "CodeIndexModel", "OneHotEncoderModel", "VectorAssembler", "LogisticRegressionModel",
     ]
     row = scored.first()
     assert 0 <= row.score <= 1 and row.prediction in (0.0, 1.0)
