@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from sievemart.session import cut_lineage
 
+#: Links per task of a round; few links need few tasks.
+TASK_LINKS = 1 << 18
+
 
 def _state(links: DataFrame) -> tuple:
     row = links.agg(
@@ -21,12 +24,15 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     Alternates two steps until nothing changes: every node's larger neighbours
     are tied to its least neighbour, then its smaller ones.  Each step only joins
     a link with its node's minimum, and the number of links never grows, so a
-    node with very many neighbours costs a row for each and no more.
+    node with very many neighbours costs a row for each and no more.  A round's
+    results are written by as many tasks as the counted links need, not by one per
+    shuffle partition.
     """
     ends = [F.least(left, right).alias("v"), F.greatest(left, right).alias("u")]
     links = cut_lineage(links.filter(F.col(left) != F.col(right)).select(*ends).distinct())
     state = _state(links)
-    while True:
+    while state[0]:
+        tasks = 1 + state[0] // TASK_LINKS
         both = links.select("u", "v").union(links.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (
@@ -36,7 +42,7 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
             .filter(F.col("u") != F.col("v"))
             .distinct()
         )
-        large = cut_lineage(large)
+        large = cut_lineage(large.coalesce(tasks))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(least, "u")
@@ -45,7 +51,7 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
             .union(least.select("u", F.col("m").alias("v")))
             .distinct()
         )
-        links = cut_lineage(small)
+        links = cut_lineage(small.coalesce(tasks))
         before, state = state, _state(links)
         if state == before:
             break
