@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.spark_queries import RATES
+from checks.spark_queries import DAMAGED_AMOUNT, DAMAGED_LINE, RATES
 from sievemart.sources.catalog import WITH_TEST, WITHOUT_TEST
 from checks.postings import ORDER_POSTINGS_SQL, POSTINGS_SQL
 
@@ -162,7 +162,7 @@ def category(rows: str, column: str) -> str:
 def all_sql() -> dict[str, str]:
     op, p, c = f"WITH {ORDER_POSTINGS}", f"WITH {POSTINGS}", f"WITH {CUSTOMER_POSTINGS}"
     d, s = f"WITH {MID_ROWS}", f"WITH {STAGED}"
-    return {
+    sql = {
         "keep_columns": f"{p} SELECT {_STAGE_TEXT} FROM p",
         "default_columns": f"{op} SELECT posting_no, premium, 0.0::DOUBLE AS address_lat,"
         " 0 AS test_flag, NULL::BIGINT AS vac_distinct FROM op",
@@ -257,6 +257,8 @@ def all_sql() -> dict[str, str]:
         "group_profile_exact": f"{d} {profile('d')}",
         "group_profile_scaled": f"{d} {profile('d, range(4)')}",
         "group_profile_bare": f"{d} {profile('d', 'NULL::BIGINT', 'NULL::DOUBLE')}",
+        "profile_sweep": f"{d} "
+        + " UNION ALL ".join(f"SELECT *, {m} AS multiplier FROM ({profile(f'd, range({m})')})" for m in (1, 2, 4, 8, 16)),
         "stage_rows": f"{s} SELECT * FROM s",
         "report_top_cities": f"{s} SELECT area_name, count(*) AS vacancies FROM s GROUP BY area_name"
         " ORDER BY vacancies DESC, area_name NULLS FIRST LIMIT 20",
@@ -295,6 +297,14 @@ def all_sql() -> dict[str, str]:
         f" FROM {_RUN_SUMMARY}",
         "feed_mixed_case": f"{p} SELECT area_name AS city, count(*)::DOUBLE AS vacancies FROM p"
         " GROUP BY area_name ORDER BY vacancies DESC, city NULLS FIRST LIMIT 20",
+        "sql_saved_tables": f"SELECT c.area_name, count(*) AS vacancies, max(vacancies_with_salary) AS with_salary,"
+        f" max(avg_rub) AS avg_rub FROM ({s} SELECT * FROM s) AS c LEFT JOIN (WITH {RATED_MART} SELECT * FROM m) AS m"
+        " ON c.area_name = m.area_name GROUP BY c.area_name",
+        "csv_quarantine": "SELECT CASE WHEN fits THEN o_orderkey END AS o_orderkey,"
+        " CASE WHEN fits THEN o_orderstatus END AS status,"
+        f" CASE WHEN fits THEN CAST({DAMAGED_AMOUNT} AS DOUBLE) END AS amount,"
+        f" CASE WHEN NOT fits THEN {DAMAGED_LINE} END AS record"
+        " FROM (SELECT *, o_orderkey % 25 NOT IN (7, 8, 9) AS fits FROM orders)",
         "csv_round_trip": f"{p} SELECT * REPLACE (posting_no::VARCHAR AS posting_no) FROM p",
         "logreg_scored_rows": f"{p} SELECT id, {many_words('test_required')} AS label FROM p"
         " WHERE CAST('0x' || substr(md5('42|' || id), 1, 8) AS BIGINT) % 10000 >= 8000",
@@ -314,3 +324,18 @@ def all_sql() -> dict[str, str]:
             "lineitem", "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END", "l_quantity"
         ),
     }
+    return sql | {"job_outputs": _job_outputs(sql)}
+
+
+def _job_outputs(sql: dict[str, str]) -> str:
+    steps = ("stage", "reports", "reports/ml_results", "reports/scalability_results")
+    parts = [
+        f"SELECT 'stage' AS report, NULL AS k, count(*) AS n, sum(salary_from) AS value FROM ({sql['stage_rows']})",
+        f"SELECT 'top_cities', area_name, vacancies, NULL FROM ({sql['report_top_cities']})",
+        f"SELECT 'salary_by_city', area_name, with_salary, avg_salary_from FROM ({sql['report_salary_by_city']})",
+        f"SELECT 'test_share', NULL, total, share FROM ({sql['report_test_share']})",
+        *[f"SELECT 'scalability_results', '{m}', {m} * count(*), NULL FROM ({sql['stage_rows']})" for m in (1, 2)],
+        "SELECT 'ml_results', 'predict test_required (test_flag)', 1, NULL",
+        *[f"SELECT 'manifest', '{step}', 1, NULL" for step in steps],
+    ]
+    return " UNION ALL ".join(parts)

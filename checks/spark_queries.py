@@ -8,13 +8,14 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sievemart import functions as fx
 from sievemart.operators import bitmaps, dedup, grouping, joins, ordering, projection, ranking, split
 from sievemart.operators.replicate import replicate_rows
-from sievemart.plans import code_index, feeds, model, reports, scaling, stage
+from sievemart.plans import code_index, feeds, job, model, reports, scaling, stage
 from sievemart.session import cut_lineage, ensure_checkpoint_dir
-from sievemart.sources import catalog, files
+from sievemart.sources import catalog, files, publish
 from checks.postings import order_postings, postings, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -472,6 +473,11 @@ def scaling_rows(spark, sf):
     )
 
 
+@query
+def profile_sweep(spark, sf):
+    return scaling.profile_sweep(stored_mid(spark, sf))
+
+
 # Composite jobs
 
 
@@ -522,6 +528,33 @@ def report_test_share(spark, sf):
     return _reports(spark, sf)["test_share"]
 
 
+@query
+def job_outputs(spark, sf):
+    """The whole job over all postings as CSV, and each of its results read back."""
+    base = f"{ensure_checkpoint_dir(spark)}/job-{uuid.uuid4().hex}"
+    raw, out = f"{base}/raw", f"{base}/out"
+    files.write_csv(postings(spark, sf), raw)
+    job.run_job(spark, raw, out, multipliers=(1, 2), repeats=1)
+
+    def rows(report: str, df: DataFrame, key: str, n: str, value: str = "NULL") -> DataFrame:
+        shown = [f"CAST({key} AS STRING) AS k", f"CAST({n} AS LONG) AS n", f"CAST({value} AS DOUBLE) AS value"]
+        return df.select(F.lit(report).alias("report"), *map(F.expr, shown))
+
+    def report(name: str) -> DataFrame:
+        return files.read_report(spark, f"{out}/reports/{name}")
+
+    staged = files.read_stage(spark, f"{out}/stage").agg(F.count("*").alias("n"), F.sum("salary_from").alias("total"))
+    return (
+        rows("stage", staged, "NULL", "n", "total")
+        .union(rows("top_cities", report("top_cities"), "area_name", "vacancies"))
+        .union(rows("salary_by_city", report("salary_by_city"), "area_name", "with_salary", "avg_salary_from"))
+        .union(rows("test_share", report("test_share"), "NULL", "total", "share"))
+        .union(rows("scalability_results", report("scalability_results"), "multiplier", "rows"))
+        .union(rows("ml_results", spark.read.json(f"{out}/reports/ml_results"), "task", "1"))
+        .union(rows("manifest", publish.Publisher(spark, out).manifest(), "step", "1"))
+    )
+
+
 # SQL over catalog names
 
 
@@ -584,6 +617,39 @@ def sql_bound_values(spark, sf):
     )
 
 
+@query
+def sql_saved_tables(spark, sf):
+    """A join of two saved tables, planned by the statistics in the catalog."""
+    database = f"checked_{uuid.uuid4().hex}"
+    raw = postings(spark, sf)
+    job.publish_tables(raw, stage.stage_rows(raw), database, RATES)
+    return catalog.run_sql(
+        spark,
+        f"SELECT c.area_name, count(*) AS vacancies, max(vacancies_with_salary) AS with_salary, max(avg_rub) AS avg_rub"
+        f" FROM {catalog.CLEAN} c LEFT JOIN {catalog.MART} m ON c.area_name = m.area_name GROUP BY c.area_name",
+        database=database,
+    )
+
+
+# Orders as CSV lines; of 25 one has too few fields, one too many, one a number that is none.
+DAMAGED_AMOUNT = "CAST(CAST(floor(o_totalprice * 4) / 4 AS DECIMAL(18,2)) AS STRING)"
+DAMAGED_LINE = f"""
+  CASE o_orderkey % 25 WHEN 7 THEN CAST(o_orderkey AS STRING)
+    WHEN 8 THEN CAST(o_orderkey AS STRING) || ',' || o_orderstatus || ',' || {DAMAGED_AMOUNT} || ',more'
+    WHEN 9 THEN 'x' || CAST(o_orderkey AS STRING) || ',' || o_orderstatus || ',' || {DAMAGED_AMOUNT}
+    ELSE CAST(o_orderkey AS STRING) || ',' || o_orderstatus || ',' || {DAMAGED_AMOUNT} END"""
+
+
+@query
+def csv_quarantine(spark, sf):
+    """Typed records of a damaged CSV, and those that do not fit, as they stand in it."""
+    folder = f"{ensure_checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
+    read_table(spark, sf, "orders").select(F.expr(DAMAGED_LINE).alias("value")).write.text(folder)
+    typed = StructType.fromDDL("o_orderkey long, status string, amount double")
+    good, bad = files.split_bad_records(spark, folder, typed, multi_line=False, header=False)
+    return good.unionByName(bad.select("record"), allowMissingColumns=True)
+
+
 @query
 def csv_round_trip(spark, sf):
     """All postings written as CSV to the shared folder and read back as text."""

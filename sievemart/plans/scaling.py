@@ -50,12 +50,14 @@ def scaling_runs(
         base = base.repartition(partitions)
     # Held once, as columns of the profile only: parsing is not what is timed.
     base = cut_lineage(base)
+    # Counted once, from the file footers.  An Observation on the warm-up run would do
+    # without, but after it Spark 4.1 cannot send the session's MLlib stages to tasks.
+    rows = base.count()
     runs = []
     for m in multipliers:
         volume = replicate_rows(base, m)
-        rows = volume.count()
         run_once(group_profile(volume))
-        runs += [(m, rows, run_once(group_profile(volume))) for _ in range(repeats)]
+        runs += [(m, m * rows, run_once(group_profile(volume))) for _ in range(repeats)]
     return stage.sparkSession.createDataFrame(runs, RUN_SCHEMA)
 
 
@@ -85,3 +87,14 @@ def volume_shapes(stage: DataFrame, multipliers: Iterable[int] = MULTIPLIERS) ->
         for m in multipliers
     ]
     return reduce(DataFrame.unionByName, shapes)
+
+
+def profile_sweep(base: DataFrame, multipliers: Iterable[int] = MULTIPLIERS) -> DataFrame:
+    """The profile itself at every multiplier: what the sweep computes, without its times.
+
+    ``base`` has the midpoint and should be stored, as each multiplier scans it.
+    """
+    profiles = [
+        group_profile(replicate_rows(base, m), exact_median=True).withColumn("multiplier", F.lit(m)) for m in multipliers
+    ]
+    return reduce(DataFrame.unionByName, profiles)

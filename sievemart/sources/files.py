@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
     IntegerType,
@@ -13,6 +14,9 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from sievemart.session import cut_lineage
+
+CORRUPT = "_corrupt_record"
 NO_TEXT = "\0"  # a null marker that no field holds
 BOM = "\ufeff"
 
@@ -91,6 +95,41 @@ def read_csv(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def split_bad_records(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    multi_line: bool = True,
+    header: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """The records of a CSV that fit its schema, and those that do not.
+
+    Without a schema all columns are text, named by the header.  A record with another
+    number of fields, or with a value that is not of its column's type, does not fit;
+    the second frame has it as it stands in the file, ``record``, and its ``file``.
+    The CSV is parsed once, into a stored table that both frames read.
+    """
+    reader = spark.read.option("multiLine", multi_line).option("quote", '"').option("escape", '"')
+    if schema is None:
+        schema = reader.option("header", header).csv(path).schema
+    marked = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    # With fewer columns read, Spark would not see how many fields a record has.
+    parsed = (
+        reader.option("header", header)
+        .option("enforceSchema", False)
+        .option("columnPruning", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .schema(marked)
+        .csv(path)
+    )
+    stored = cut_lineage(parsed.withColumn("_file", F.col("_metadata.file_path")))
+    good = stored.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file")
+    good = good.withColumnRenamed(schema[0].name, schema[0].name.lstrip(BOM))
+    bad = stored.filter(F.col(CORRUPT).isNotNull())
+    return good, bad.select(F.col(CORRUPT).alias("record"), F.col("_file").alias("file"))
+
+
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
     """The stage table; Parquet keeps its types, so nothing is inferred."""
     return spark.read.parquet(path)
