@@ -19,7 +19,8 @@ Without labelled pages the weights are those of the priors below.
 
 Defined results: NULL, empty and text-free pages give an empty text; broken
 markup never fails (an unclosed script, style, title, textarea, noscript, iframe or
-comment runs to the end; of other unclosed elements only the tag goes); repeated
+comment runs to the end; of other unclosed elements only the tag goes); pages of any
+length and however broken are read in time linear in their length; repeated
 rows are read alike; of stretches with equal sums the first and longest is
 taken; a NULL id stays NULL; other columns are ignored; an empty table gives an
 empty result.
@@ -28,9 +29,11 @@ empty result.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -65,14 +68,14 @@ NEVER_CLASS = frozenset(
 NEVER_ROLE = frozenset("navigation banner contentinfo complementary search form alert dialog".split())
 HOLDERS = frozenset(("html", "body", "article", "main"))
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs2>[^>]*)>"
-    r"|<[!?][^>]*>",
-    re.DOTALL | re.IGNORECASE,
-)
+# Most tags: no "<" or ">" in an attribute, so a failed try reads no further than the next tag.
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']|\"[^\"<>]*+\"|'[^'<>]*+')*+)>")
+NAME = re.compile(r"/?([a-zA-Z][a-zA-Z0-9:-]*)")
+RAW_START = re.compile(rf"({'|'.join(RAW)})(?=[\s/>])", re.IGNORECASE)
+RAW_END = {name: re.compile(rf"</{name}\s*+>", re.IGNORECASE) for name in RAW}
+DROPPED_TAG = {name: re.compile(rf"<(/?){name}(?=[\s/>])", re.IGNORECASE) for name in DROPPED}
+QUOTED = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>")
+STOP = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME_PART = re.compile(r"[a-z0-9]+")
 
@@ -83,16 +86,101 @@ SKIPPED_COST = 0.001
 INSIDE, OUTSIDE = "inside", "outside"
 
 
-def _closed(html: str, name: str) -> dict[int, int]:
-    """Of each closed element of that name: where its start tag begins and its end tag ends."""
-    ends, open_ = {}, []
-    for found in re.finditer(rf"<(/?){name}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>", html, re.IGNORECASE):
-        if not found[1]:
-            if not (name == "svg" and found[0].endswith("/>")):
-                open_.append(found.start())
-        elif open_:
-            ends[open_.pop()] = found.end()
-    return ends
+class Markup:
+    """Finds the tags of a page, each place of it being read a bounded number of times.
+
+    Whatever is not found from one place on is not looked for again from a later one.
+    """
+
+    def __init__(self, html: str) -> None:
+        self.html = html
+        self.end = html.find(">")  # the place of the ">" found last, -1 if there is no further one
+        self.stops: list[int] | None = None
+        self.ends: list[int] = []
+
+    def first_end(self, at: int) -> int:
+        """The place behind the next ``>``, -1 if there is none."""
+        if 0 <= self.end < at:
+            self.end = self.html.find(">", at)
+        return self.end + 1 if self.end >= 0 else -1
+
+    def quoted_end(self, at: int) -> int:
+        """The place behind the next ``>`` outside of quotes, -1 if there is none.
+
+        After the first tag whose quotes stay open, the ends from all quotes and
+        ``>`` on are worked out at once, from the last one backwards.
+        """
+        if self.stops is None:
+            if found := QUOTED.match(self.html, at):
+                return found.end()
+            self._work_out_ends()
+        stop = bisect_left(self.stops, at)
+        return self.ends[stop] if stop < len(self.stops) else -1
+
+    def _work_out_ends(self) -> None:
+        self.stops = [m.start() for m in STOP.finditer(self.html)]
+        self.ends = [-1] * (len(self.stops) + 1)
+        following: dict[str, int] = {}  # the next quote of each sort
+        for number in range(len(self.stops) - 1, -1, -1):
+            sort = self.html[self.stops[number]]
+            if sort == ">":
+                self.ends[number] = self.stops[number] + 1
+            else:
+                if sort in following:
+                    self.ends[number] = self.ends[following[sort] + 1]
+                following[sort] = number
+
+    def token(self, at: int) -> Token | None:
+        """The first tag, comment, raw element or declaration from ``at`` on."""
+        html = self.html
+        while (start := html.find("<", at)) >= 0:
+            if (plain := PLAIN_TAG.match(html, start)) and (name := plain[2].lower()) not in RAW_END:
+                return Token(start, plain.end(), name, bool(plain[1]), plain[3])
+            if html.startswith("<!--", start):
+                end = html.find("-->", start + 4)
+                return Token(start, end + 3 if end >= 0 else len(html))
+            if (first := self.first_end(start)) < 0:
+                at = html.find("<!--", start)
+                if at < 0:
+                    return None
+                continue
+            if html[start + 1] in "!?":
+                return Token(start, first)
+            if raw := RAW_START.match(html, start + 1):
+                end = RAW_END[raw[1].lower()].search(html, first)
+                return Token(start, end.end() if end else len(html), raw=True)
+            if name := NAME.match(html, start + 1):
+                end = self.quoted_end(name.end())
+                end = first if end < 0 else end
+                closes = html[start + 1] == "/"
+                return Token(start, end, name[1].lower(), closes, html[name.end() : end - 1])
+            at = start + 1
+        return None
+
+    def closed(self, name: str) -> dict[int, int]:
+        """Of each closed element of that name: where its start tag begins and its end tag ends."""
+        ends, open_, at = {}, [], 0
+        while found := DROPPED_TAG[name].search(self.html, at):
+            at = self.quoted_end(found.end())
+            if at < 0:
+                at = found.end()
+            elif not found[1]:
+                if not (name == "svg" and self.html[at - 2] == "/"):
+                    open_.append(found.start())
+            elif open_:
+                ends[open_.pop()] = at
+        return ends
+
+
+class Token(NamedTuple):
+    """What lies between two texts; ``name`` is empty unless it is a tag."""
+
+    start: int
+    end: int
+    name: str = ""
+    closes: bool = False
+    attrs: str = ""
+    raw: bool = False
 
 
 class Run:
@@ -133,26 +221,35 @@ def read_runs(html: str) -> tuple[list[Run], int]:
     block = articles = holders = 0
     at = 0
     closed: dict[str, dict[int, int]] = {}
+    named: Counter[str] = Counter()  # open elements by name
+    markup = Markup(html)
+
+    def push(name: str, kind: str, skipped: int) -> None:
+        open_.append((name, kind, skipped))
+        named[name] += 1
+
+    def pop() -> str:
+        name = open_.pop()[0]
+        named[name] -= 1
+        return name
 
     def text_run(raw: str) -> None:
         kind, skipped = (open_[-1][1], open_[-1][2]) if open_ else ("", 0)
         runs.append(Run(kind, unescape(raw), skipped, holders > 0, block))
 
-    while found := TOKEN.search(html, at):
-        if found.start() > at:
-            text_run(html[at : found.start()])
-        at = found.end()
-        name = (found["name"] or found["name2"] or "").lower()
+    while found := markup.token(at):
+        if found.start > at:
+            text_run(html[at : found.start])
+        at = found.end
+        name, closes = found.name, found.closes
         if not name:  # comments, raw elements, declarations
-            if found["raw"] and found["raw"].lower() not in INLINE:
-                block += 1
+            block += found.raw
             continue
-        closes = bool(found["close"] or found["close2"])
         if name in DROPPED:
             if not closes:
                 if name not in closed:
-                    closed[name] = _closed(html, name)
-                at = closed[name].get(found.start(), at)
+                    closed[name] = markup.closed(name)
+                at = closed[name].get(found.start, at)
             block += 1
             continue
         if name in INLINE and name != "label":
@@ -161,23 +258,23 @@ def read_runs(html: str) -> tuple[list[Run], int]:
             if name == "br":
                 runs.append(Run(kind, " ", skipped, holders > 0, block))
             elif not closes:
-                own, never = _kind(name, found["attrs"] or found["attrs2"] or "")
+                own, never = _kind(name, found.attrs)
                 if never:
-                    open_.append((name, own, max(skipped, never)))
+                    push(name, own, max(skipped, never))
             elif open_ and open_[-1][0] == name:
-                open_.pop()
+                pop()
             continue
         block += 1
         if closes:
-            depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
-            if depth is not None:
-                holders -= sum(x[0] in ("article", "main") for x in open_[depth:])
-                del open_[depth:]
+            last = "" if named[name] else name  # an end tag of nothing open closes nothing
+            while last != name:
+                last = pop()
+                holders -= last in ("article", "main")
             runs.append(Run(name, None, open_[-1][2] if open_ else False, holders > 0, block))
             continue
-        kind, never = _kind(name, found["attrs"] or found["attrs2"] or "")
+        kind, never = _kind(name, found.attrs)
         while open_ and (open_[-1][0] == "p" or open_[-1][0] == name == "li" or open_[-1][0] in HEADINGS and name in HEADINGS):
-            open_.pop()
+            pop()
         within = open_[-1][2] if open_ else 0
         if name in HEADINGS and within and holders and open_[-1][0] == "header":
             within = 0  # an article's own header holds its heading
@@ -188,7 +285,7 @@ def read_runs(html: str) -> tuple[list[Run], int]:
             holders += 1
         runs.append(Run(kind, None, max(within, never), holders > 0, block))
         if name not in VOID:
-            open_.append((name, kind, max(within, never)))
+            push(name, kind, max(within, never))
     if at < len(html):
         text_run(html[at:])
     return runs, articles

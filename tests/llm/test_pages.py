@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from collections import Counter
 from html import unescape
 
@@ -150,6 +151,30 @@ def test_best_stretch_is_the_brute_force_one():
         assert sum(scores[start:end]) == max(0.0, *sums)
 
 
+BROKEN = (
+    ["<svg", "<!-x<title ", '<a "', "<a 'x\"", '<div a="', "<svg a='", "<1", "<title>", "</title  ", "<!--"]
+    + ["<div>", "</b></i>", "<svg>", "<template \"'", "<p a='<svg \""]
+)
+
+
+def test_broken_pages_take_linear_time():
+    # 300 KB each; a scan back to an earlier place for every tag would take minutes.
+    for part in BROKEN:
+        for tail in ("", ">", '">', "</p>" * 20_000):
+            started = time.perf_counter()
+            html_text.main_text(part * (300_000 // len(part)) + tail, {})
+            assert time.perf_counter() - started < 10, (part, tail[:4])
+
+
+def test_quotes_that_stay_open():
+    text = lambda html: html_text.main_text(html, {})
+    assert text('<p a="x>y">one</p>') == "one"
+    assert text('<p a="x>one two</p><p>three</p>') == "one two\nthree"
+    assert text("<p>a < b and <!-- no end") == "a < b and"
+    assert text("<p>a <b no end <!-- no end") == "a <b no end"
+    assert text("<p>one</p></div></p><p>two</p>") == "one\ntwo"
+
+
 def test_warc_records_restore_pages(spark):
     given = spark.read.parquet(f"{SF}/pages.parquet")
     records = warc_fixity.warc_records(given).collect()
