@@ -106,6 +106,11 @@ def test_token_counts_with_a_small_table(spark, given, tokenizer, monkeypatch):
     assert found == {d: len(tokenizer.encode(t, add_special_tokens=False).ids) for d, t in given[:40]}
 
 
+def test_token_counts_shuffle_nothing(spark, given, capsys):
+    token_counts.count_tokens(spark.createDataFrame(given, "doc_id long, text string")).explain()
+    assert "Exchange" not in capsys.readouterr().out
+
+
 def test_packing(spark, given, tokenizer):
     rows = both(spark, given)
     ids = {}

@@ -216,6 +216,32 @@ def test_audit_finds_every_planted_fault(spark):
     assert warc_fixity.merkle_audit(frame(rows[:9]), frame([])).count() == 9
 
 
+def test_audit_of_records_without_a_place_and_of_copies(spark):
+    schema = "archive string, offset long, record binary"
+    frame = lambda x: spark.createDataFrame(x, schema)
+    rows = [(None, None, b"n%d" % (i % 700)) for i in range(2000)]
+    rows += [("a", None, b"o%d" % i) for i in range(500)] + [("a", 0, b"same place %d" % (i % 90)) for i in range(900)]
+    rows += [("a", 70_000 + i, None) for i in range(3)] + [("b", 5, b"c")] * 4
+    other = [r for n, r in enumerate(rows) if n not in (3, 2007, 2600)]
+    other += [(None, None, b"new"), ("b", 5, b"c"), ("b", 5, b"d"), ("b", 5, b"c"), (None, 7, b"m")]
+    lost, found = Counter(rows) - Counter(other), Counter(other) - Counter(rows)
+    per_place = lambda c: Counter({p: sum(n for r, n in c.items() if r[:2] == p) for p in {r[:2] for r in c}})
+    too_few, too_many = per_place(lost), per_place(found)
+    expected = Counter()
+    for side, kind in ((lost, "missing"), (found, "extra")):
+        for (archive, offset, _), n in side.items():
+            changed = too_few[archive, offset] == too_many[archive, offset] == 1
+            expected[archive, offset, "changed" if changed else kind] += n if not changed else side is lost
+    audit = warc_fixity.merkle_audit(frame(rows), frame(other)).collect()
+    told = Counter()
+    for r in audit:
+        told[r["archive"], r["offset"], r["kind"]] += r["copies"]
+    assert told == +expected
+    leaves = warc_fixity.merkle_tree(warc_fixity.record_digests(frame(rows), "archive", "offset", "record"))
+    unknown = leaves.filter("level = 0 AND archive IS NULL").count()
+    assert unknown > 600  # not one leaf for all
+
+
 def test_warc_records_of_awkward_pages(spark):
     rows = [(None, None, None), (1, "a\r\nb", "é"), (1, "a\r\nb", "é")]
     records = warc_fixity.warc_records(pages(spark, rows).drop("id")).collect()
