@@ -174,6 +174,21 @@ def test_sharding_splits_hot_groups_and_balances(spark):
     assert all(len(s) == 1 for s in where.values())  # small groups stay whole
 
 
+def test_sharding_keeps_groups_below_a_share_whole(spark):
+    # 60,000 rows, so a shard's share is 1,500: 1,000 equal rows stay whole, 20,000 cannot.
+    rows = [(i, "word " * 40 + "hot") for i in range(20_000)] + [
+        (20_000 + i, f"copied {i // 1000} " + "word " * 40) for i in range(12_000)
+    ] + [(32_000 + i, f"single {i} " + "word " * (i * 7919 % 80)) for i in range(28_000)]
+    found = sharding.shard_documents(plain.documents(spark, rows)).collect()
+    assert len(found) == len(rows)
+    total, where = Counter(), {}
+    for r in found:
+        total[r["shard"]] += r["size"]
+        where.setdefault(rows[r["doc_id"]][1], set()).add(r["shard"])
+    assert max(total.values()) <= 1.03 * min(total.values())
+    assert [t for t, s in where.items() if len(s) > 1] == [rows[0][1]]
+
+
 def test_near_duplicates(spark, given):
     rows = both(spark, given)
     near = [(5000 + i, t + f" tail{i}") for i, (_, t) in enumerate(given[:30]) if t]
