@@ -205,8 +205,8 @@ def all_sql() -> dict[str, str]:
         f" {lenient('address_lat')} AS address_lat FROM p"
         f" WHERE area_name IS NOT NULL AND {lenient('salary_from')} IS NOT NULL",
         "predicate_forms": "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders"
-        " WHERE o_totalprice >= 1000 AND o_custkey > 0 AND o_orderdate IS NOT NULL"
-        " AND o_orderstatus IN ('O', 'F') AND regexp_matches(o_orderpriority, '^[12]-')"
+        " WHERE o_totalprice >= 100000 AND o_custkey > 20 AND nullif(o_custkey % 10, 0) IS NOT NULL"
+        " AND o_orderstatus IN ('O', 'P') AND regexp_matches(o_orderpriority, '^[12]-')"
         " AND NOT o_orderstatus = 'P'",
         "dedup_by_key": "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey"
         " ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,"

@@ -258,10 +258,10 @@ def predicate_forms(spark, sf):
     return (
         read_table(spark, sf, "orders")
         .filter(
-            (F.col("o_totalprice") >= 1000)
-            & (F.col("o_custkey") > 0)
-            & F.col("o_orderdate").isNotNull()
-            & F.col("o_orderstatus").isin("O", "F")
+            (F.col("o_totalprice") >= 100000)
+            & (F.col("o_custkey") > 20)
+            & F.nullif(F.col("o_custkey") % 10, F.lit(0)).isNotNull()
+            & F.col("o_orderstatus").isin("O", "P")
             & F.col("o_orderpriority").rlike("^[12]-")
             & ~(F.col("o_orderstatus") == "P")
         )
