@@ -13,8 +13,9 @@ over all small sets.
 In a list every set is first compared with the list's least one; once the components
 of these links are known, all pairs of a list that are still apart are.  A long list
 is first split by a second shared shingle, of which similar sets have one too.  Pairs
-pass three tests of rising cost, none of which loses a similar pair: sizes and
-places, the difference of coarse counts, and the whole sets.
+pass four tests of rising cost, none of which loses a similar pair: sizes and places,
+the difference of coarse counts, that of counts as fine as the set is large, and the
+whole sets.  Only the texts of sets that reach the last test travel, one per set.
 
 Which shingles are rare is read from a bounded sample; it decides the cost only.
 
@@ -49,10 +50,13 @@ MOST_SUBSETS = 512
 #: Open lists longer than this are split by a second shingle.
 SPLIT_LIST = 64
 # Texts sampled for the order of shingles, and shingles kept of it.
-ORDER_TEXTS = 4096
-ORDER_MOST = 1 << 17
-#: Coarse counts per set.
+ORDER_TEXTS = 16384
+ORDER_MOST = 1 << 19
+#: Coarse counts per set, and most of its fine ones.
 BUCKETS = 64
+MOST_BUCKETS = 1 << 16
+#: Ranges of text hashes, of which those wanted are broadcast: no more rows than this.
+HASH_RANGES = 1 << 20
 #: Word hashes that a worker keeps.
 KEPT_WORDS = 1 << 20
 
@@ -138,6 +142,28 @@ def rarest(shingles: np.ndarray, common: np.ndarray, times: np.ndarray, percent:
     return shingles[np.lexsort((shingles, seen))][:size]
 
 
+def bucket_counts(shingles: np.ndarray, buckets: int) -> np.ndarray:
+    """How many shingles fall in each of ``buckets`` (a power of two) ranges, 255 at most."""
+    at = (shingles >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=buckets), 255).astype(np.uint8)
+
+
+def fine_buckets(size: int) -> int:
+    """A power of two of a quarter of the set's size or more, within the bounds."""
+    return min(max(1 << (size // 4).bit_length(), BUCKETS), MOST_BUCKETS)
+
+
+def counts_differ(a: bytes, b: bytes) -> int:
+    """How far two sets' counts are apart: no more than the sets themselves are.
+
+    The longer counts are folded to the shorter; counts cut at 255 stay so.
+    """
+    counts = [np.frombuffer(x, dtype=np.uint8).astype(np.int64) for x in (a, b)]
+    buckets = min(map(len, counts))
+    a, b = (np.minimum(x.reshape(buckets, -1).sum(axis=1), 255) for x in counts)
+    return int(np.abs(a - b).sum())
+
+
 def _listed_sizes(percent: int) -> Column:
     """The length of a set's prefix."""
     return F.col("_size") - F.ceil(F.col("_size") * percent / F.lit(100)) + 1
@@ -162,7 +188,7 @@ def _common_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarr
 
 
 _OF_SET = {"_digest": BinaryType(), "_size": LongType(), "_rare": ArrayType(LongType()),
-           "_small": ArrayType(LongType()), "_profile": BinaryType()}
+           "_small": ArrayType(LongType()), "_profile": BinaryType(), "_fine": BinaryType()}
 
 
 # Two hashes stand for a text, so that a wanted one is found without Python.
@@ -176,10 +202,6 @@ def _describe(words: int, percent: int, shared):
         common, times = shared.value
         for batch in batches:
             sets = [shingle_set(x, words) for x in batch.column("_text").to_pylist()]
-            coarse = [
-                np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BUCKETS), 255).astype(np.uint8)
-                for s in sets
-            ]
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -188,7 +210,8 @@ def _describe(words: int, percent: int, shared):
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([rarest(s, common, times, percent).view(np.int64) for s in sets], longs),
                     pa.array([s.view(np.int64) if len(s) <= small else None for s in sets], longs),
-                    pa.array([c.tobytes() for c in coarse], pa.binary()),
+                    pa.array([bucket_counts(s, BUCKETS).tobytes() for s in sets], pa.binary()),
+                    pa.array([bucket_counts(s, fine_buckets(len(s))).tobytes() for s in sets], pa.binary()),
                 ],
                 names=["_id", *_TEXT_KEY, *_OF_SET],
             )
@@ -270,18 +293,54 @@ class _Verifier:
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """Of distinct pairs ``a``, ``b`` the similar ones; stored."""
         close = cut_lineage(self._close(pairs))
-        ends = close.select(F.explode(F.array("a", "b")).alias("_node")).distinct()
-        # Stored, so that its size is known: few wanted sets are broadcast, and no text travels.
-        wanted = cut_lineage(self.nodes.select("_node", "_text_key.*").join(ends, "_node"))
+        about = cut_lineage(self._of_ends(close, self.nodes.select("_node", "_size", "_fine", "_text_key.*")))
+        close = cut_lineage(self._closer(close, about))
+        # Stored, so that its size is known: few wanted sets are broadcast.
+        wanted = cut_lineage(self._of_ends(close, about.select("_node", "_id", *_TEXT_KEY)))
         if wanted.isEmpty():
             return close
-        texts = self.docs.join(wanted, list(_TEXT_KEY)).select("_node", "_text").dropDuplicates(["_node"])
-        sets = cut_lineage(texts.mapInArrow(_sets_of(self.words), "_node long, _set array<bigint>"))
+        sets = cut_lineage(self._texts(wanted).mapInArrow(_sets_of(self.words), "_node long, _set array<bigint>"))
         sides = [sets.select(F.col("_node").alias(x), F.col("_set").alias(f"_of_{x}")) for x in "ab"]
         shared = F.size(F.array_intersect("_of_a", "_of_b"))
         similar = shared * (100 + self.percent) >= (F.size("_of_a") + F.size("_of_b")) * self.percent
         return cut_lineage(close.join(sides[0], "a").join(sides[1], "b").filter(similar).select("a", "b"))
 
+    def _of_ends(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The rows of ``nodes`` that are in some pair."""
+        return nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("_node")).distinct(), "_node")
+
+    def _texts(self, wanted: DataFrame) -> DataFrame:
+        """Node and text of every wanted set.
+
+        Before the join, documents whose hash is in no wanted one's range are left out by a
+        broadcast of at most ``HASH_RANGES`` numbers, so that texts not wanted stay where they
+        are.  Of copies only the row that the node names is taken.
+        """
+        in_range = F.pmod("_hash", F.lit(HASH_RANGES))
+        ranges = wanted.select(in_range.alias("_in_range")).distinct()
+        near = self.docs.withColumn("_in_range", in_range).join(F.broadcast(ranges), "_in_range", "left_semi")
+        named = wanted.withColumnRenamed("_id", "_named")
+        found = near.join(named, list(_TEXT_KEY)).filter(F.col("_id").eqNullSafe(F.col("_named")))
+        return found.select("_node", "_text").dropDuplicates(["_node"])
+
+    def _closer(self, pairs: DataFrame, about: DataFrame) -> DataFrame:
+        """Pairs whose fine counts differ by no more than similar sets' can."""
+        percent = self.percent
+        sides = [
+            about.select(F.col("_node").alias(x), F.col("_fine").alias(f"_of_{x}"), F.col("_size").alias(f"_size_{x}"))
+            for x in "ab"
+        ]
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                counts = zip(*[batch.column(f"_of_{x}").to_pylist() for x in "ab"], strict=True)
+                apart = np.array([counts_differ(a, b) for a, b in counts], dtype=np.int64)
+                sizes = sum(batch.column(f"_size_{x}").to_numpy() for x in "ab")
+                near = pa.array(apart * (100 + percent) <= sizes * (100 - percent))
+                yield batch.select(["a", "b"]).filter(near)
+
+        return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(keep, "a long, b long")
+
     def _close(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose coarse counts differ by no more than similar sets' can."""
         percent = self.percent
@@ -370,17 +429,17 @@ def similar_groups(
     kept = {x: rows.schema[x].dataType for x in ("_id", *_TEXT_KEY)}
     schema = schema_of(kept | _OF_SET)
     stored = cut_lineage(rows.mapInArrow(_describe(words, percent, shared), schema))
-    whole = ("_size", "_rare", "_small", "_profile")
+    whole = ("_size", "_rare", "_small", "_profile", "_fine")
     nodes = (
         stored.filter("_size > 0")
         .groupBy("_digest")
-        .agg(F.min("_id").alias("_least"), F.min(F.struct(*_TEXT_KEY)).alias("_text_key"), *[F.first(x).alias(x) for x in whole])
+        .agg(F.min("_id").alias("_least"), F.min(F.struct(*_TEXT_KEY, "_id")).alias("_text_key"), *[F.first(x).alias(x) for x in whole])
         .withColumns({"_node": F.monotonically_increasing_id(), "_prefix": _listed_sizes(percent)})
     )
     nodes = cut_lineage(nodes)
     listed = list_sets(nodes, size_boundary(nodes, percent), percent)
     nothing = docs.sparkSession.createDataFrame([], "a long, b long")
-    similar = _Verifier(rows.drop("_id"), nodes, words, percent)
+    similar = _Verifier(rows, nodes, words, percent)
     links = _connect(listed, nothing, nodes, similar, split=True)
     rooted = nodes.join(components(links, "a", "b"), F.col("_node") == F.col("node"), "left").select(
         "_digest", "_least", F.coalesce("root", "_node").alias("_root")

@@ -123,3 +123,23 @@ def test_subsets_and_prefixes_of_similar_sets_meet():
         for m in (x for x in ngram_join.partner_sizes(n) if x <= n):
             keys = [ngram_join.subset_keys(x) for x in (text, text[:m])]
             assert len(np.intersect1d(*keys)) > 0
+
+
+def test_counts_never_differ_more_than_sets():
+    rng = np.random.default_rng(7)
+    for size in (1, 40, 300, 2500, 70_000):
+        for changed in (0, 1, size // 20, size // 2, size):
+            for more in (0, size // 10, 3 * size):
+                a = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+                b = np.unique(np.concatenate([a[changed:], rng.integers(0, 1 << 64, changed + more, dtype=np.uint64)]))
+                counts = [ngram_join.bucket_counts(s, ngram_join.fine_buckets(len(s))).tobytes() for s in (a, b)]
+                apart = ngram_join.counts_differ(*counts)
+                assert apart <= len(np.setxor1d(a, b))
+                assert len(a) < 40 or changed < len(a) // 2 or 2 * apart > min(changed, len(a))
+
+
+def test_counts_beyond_one_byte_stay_bounds():
+    a = np.arange(1000, dtype=np.uint64)
+    b = np.arange(900, 3000, dtype=np.uint64) + (np.arange(2100, dtype=np.uint64) << np.uint64(50))
+    counts = [ngram_join.bucket_counts(s, ngram_join.fine_buckets(len(s))).tobytes() for s in (a, b)]
+    assert ngram_join.counts_differ(*counts) <= len(np.setxor1d(a, b))
