@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import zlib
 from collections import Counter
 
@@ -236,6 +237,24 @@ def test_components_of_a_long_chain(spark):
     assert found == {**dict.fromkeys(range(301), 0), 900: 900, 901: 900}
 
 
+def test_components_of_few_links_and_of_many(spark, monkeypatch):
+    """A round in one task and one dealt over tasks give what joining link by link gives."""
+    rng = np.random.default_rng(4)
+    pairs = [tuple(map(int, rng.integers(0, 60, 2))) for _ in range(35)] + [(100, 200 + i) for i in range(20)]
+    least = {x: x for p in pairs if p[0] != p[1] for x in p}
+    for _ in least:
+        for a, b in pairs:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    links = spark.createDataFrame(pairs, "a long, b long")
+    module = importlib.import_module("sievemart.llm.components")
+    for most in (module.TASK_LINKS, 16):
+        monkeypatch.setattr(module, "TASK_LINKS", most)
+        found = [tuple(r) for r in components(links, "a", "b").select("node", "root").collect()]
+        assert sorted(found) == sorted(least.items())
+    assert components(links.limit(0), "a", "b").isEmpty()
+
+
 @pytest.mark.parametrize("hot", [1000, 2])
 def test_repeated_passages(spark, given, monkeypatch, hot):
     monkeypatch.setattr(fm_substrings, "HOT_SEGMENTS", hot)
