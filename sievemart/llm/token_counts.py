@@ -1,12 +1,12 @@
 """Token counts of whole texts by a two-tier lookup in the tasks.
 
-The table is fitted on a sample: the first ``SAMPLE_ROWS`` texts of each of the
-first ``SAMPLE_PARTS`` partitions, whose tasks hand their most frequent chunks
-(see ``tokens``) to the driver, at most ``TASK_CHUNKS`` each.  The most frequent
-of all, ``TABLE_CHUNKS`` at most, are broadcast with their lengths in tokens.  Then
-each text's length is the sum over its chunks, from the broadcast table, else
-from the worker's cache, else from the tokenizer.  Nothing is shuffled.  Counts
-are exact whatever the table holds; it only saves work.
+First pass: every task counts the chunks of all its texts (see ``tokens``) and hands
+its counts on, whenever it holds ``TASK_CHUNKS`` chunks and at its end; they are summed
+per chunk, so the totals are exact.  The most frequent chunks of all texts,
+``TABLE_CHUNKS`` at most (ties as they come), are broadcast with their lengths in tokens.  Second pass:
+each text's length is the sum over its chunks, from the broadcast table, else from the
+worker's cache, else from the tokenizer.  Texts are never shuffled, only the counts.
+Counts of tokens are exact whatever the table holds; it only saves work.
 
 Defined results: a NULL or empty text has no tokens and no bytes; repeated rows
 are counted alike; a NULL id stays NULL; other columns are ignored; an empty
@@ -17,52 +17,59 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemart.llm.common import ship_code
 from sievemart.llm.tokens import LONG_CHUNK, KEPT_CHUNKS, Encoder, chunks, default_vocabulary
+from sievemart.session import cut_lineage, intermediates
 
-#: Entries of the broadcast table, of a task's list, and of a task's counter.
+#: Entries of the broadcast table, and chunks that a task counts before it hands them on.
 TABLE_CHUNKS = 32_768
-TASK_CHUNKS = 8_192
-COUNTED_CHUNKS = 200_000
-
-#: The sample: partitions, and rows of each.
-SAMPLE_PARTS = 64
-SAMPLE_ROWS = 512
+TASK_CHUNKS = 200_000
 
 LIMIT = 1024
 
 
+def _handed_on(seen: Counter[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {"chunk": pa.array(list(seen), pa.string()), "seen": pa.array(list(seen.values()), pa.int64())}
+    )
+
+
 def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The most frequent chunks of a task's first texts; none of a task beyond the sample."""
-    if TaskContext.get().partitionId() >= SAMPLE_PARTS:
-        return
+    """How often each chunk is in a task's texts; a chunk may come in several parts."""
     seen: Counter[str] = Counter()
-    texts = (text for batch in batches for text in batch.column(0).to_pylist())
-    for text in islice(texts, SAMPLE_ROWS):
-        seen.update(c for c in chunks(text or "")[1:] if len(c) <= LONG_CHUNK)
-        if len(seen) > COUNTED_CHUNKS:
-            seen = Counter(dict(seen.most_common(COUNTED_CHUNKS // 2)))
-    top = seen.most_common(TASK_CHUNKS)
-    yield pa.RecordBatch.from_pydict(
-        {"chunk": pa.array([c for c, _ in top], pa.string()), "seen": pa.array([n for _, n in top], pa.int64())}
-    )
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            seen.update(c for c in chunks(text or "")[1:] if len(c) <= LONG_CHUNK)
+            if len(seen) >= TASK_CHUNKS:
+                yield _handed_on(seen)
+                seen.clear()
+    yield _handed_on(seen)
 
 
 def frequent_chunks(docs: DataFrame, text_col: str = "text", size: int = TABLE_CHUNKS) -> list[str]:
-    """At most ``size`` chunks, those most frequent in the sample."""
+    """At most ``size`` chunks, those most frequent over all texts."""
     ship_code(docs.sparkSession)
-    lists = docs.select(F.col(text_col).alias("text")).mapInArrow(_count_chunks, "chunk string, seen long")
-    total: Counter[str] = Counter()
-    for row in lists.collect():  # SAMPLE_PARTS * TASK_CHUNKS rows at most
-        total[row["chunk"]] += row["seen"]
-    return sorted(total, key=lambda c: (-total[c], c))[:size]
+    parts = docs.select(F.col(text_col).alias("text")).mapInArrow(_count_chunks, "chunk string, seen long")
+    with intermediates(docs.sparkSession):
+        total = cut_lineage(parts.groupBy("chunk").agg(F.sum("seen").alias("seen")))
+        # By counts first, so that no task sends more to the driver than the table holds.
+        by_count = total.groupBy("seen").agg(F.count("*").alias("rows")).orderBy(F.desc("seen")).limit(size)
+        least, found = None, 0
+        for row in by_count.collect():
+            if found + row["rows"] > size:
+                break
+            least, found = row["seen"], found + row["rows"]
+        top = total.filter(F.col("seen") >= least).collect() if found else []
+        tied = total if least is None else total.filter(F.col("seen") < least)
+        most = tied.agg(F.max("seen")).first()[0] if found < size else None
+        if most is not None:
+            top += total.filter(F.col("seen") == most).limit(size - found).collect()
+    return [row["chunk"] for row in sorted(top, key=lambda row: (-row["seen"], row["chunk"]))]
 
 
 class _Counts:

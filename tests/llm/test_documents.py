@@ -107,6 +107,20 @@ def test_token_counts_with_a_small_table(spark, given, tokenizer, monkeypatch):
     assert found == {d: len(tokenizer.encode(t, add_special_tokens=False).ids) for d, t in given[:40]}
 
 
+@pytest.mark.parametrize("held", [3, 100_000])
+def test_frequent_chunks_are_counted_over_all_texts(spark, monkeypatch, held):
+    """Chunks that are frequent only behind the first rows and partitions, and spread over tasks."""
+    monkeypatch.setattr(token_counts, "TASK_CHUNKS", held)
+    first = [(i, " ".join(f"a{i}x{k}" for k in range(3))) for i in range(600)]
+    late = [(i, "x late later" if i % 2 else "x late") for i in range(600, 700)]
+    one_task = spark.createDataFrame(first + late, "doc_id long, text string").coalesce(1)
+    assert token_counts.frequent_chunks(one_task, size=2) == ["late", "later"]
+    many_tasks = spark.createDataFrame(late + first + late, "doc_id long, text string").repartition(90, "doc_id")
+    assert token_counts.frequent_chunks(many_tasks, size=2) == ["late", "later"]
+    found = token_counts.frequent_chunks(many_tasks, size=10_000)
+    assert Counter(found) == Counter({c for _, t in first + late for c in t.split(" ")[1:]})
+
+
 def test_token_counts_shuffle_nothing(spark, given, capsys):
     token_counts.count_tokens(spark.createDataFrame(given, "doc_id long, text string")).explain()
     assert "Exchange" not in capsys.readouterr().out
