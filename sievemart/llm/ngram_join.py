@@ -11,11 +11,15 @@ is where the rows written as subsets plus the rows met in lists are fewest, coun
 over all small sets.
 
 In a list every set is first compared with the list's least one; once the components
-of these links are known, all pairs of a list that are still apart are.  A long list
-is first split by a second shared shingle, of which similar sets have one too.  Pairs
-pass four tests of rising cost, none of which loses a similar pair: sizes and places,
-the difference of coarse counts, that of counts as fine as the set is large, and the
-whole sets.  Only the texts of sets that reach the last test travel, one per set.
+of these links are known, all sets of a list that are still apart are.  A long list
+is first split by a second shared shingle, of which similar sets have one too, and in
+such a list those still apart are first compared with a few hubs, others in every list,
+so that a family of near copies is connected before all that are apart are compared.
+Sets pass five tests of rising cost, none of which loses a similar pair: sizes and
+places, the parity of their counts in buckets, the difference of coarse counts, that of
+counts as fine as the set is large, and the whole sets.  Where all that are apart are
+compared, a pair becomes a row only if it has passed the first two.  Only the texts of
+sets that reach the last test travel, one per set.
 
 Which shingles are rare is read from a bounded sample; it decides the cost only.
 
@@ -28,6 +32,7 @@ gives no rows.
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 from math import comb
@@ -35,7 +40,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType
 
@@ -49,12 +54,16 @@ PERCENT = 90
 MOST_SUBSETS = 512
 #: Open lists longer than this are split by a second shingle.
 SPLIT_LIST = 64
+#: Members of a split list with which all others are compared first.
+HUBS = 8
 # Texts sampled for the order of shingles, and shingles kept of it.
 ORDER_TEXTS = 16384
 ORDER_MOST = 1 << 19
 #: Coarse counts per set, and most of its fine ones.
 BUCKETS = 64
 MOST_BUCKETS = 1 << 16
+#: Buckets of the parity sketch; a multiple of 64.
+SKETCH_BITS = 512
 #: Ranges of text hashes, of which those wanted are broadcast: no more rows than this.
 HASH_RANGES = 1 << 20
 #: Word hashes that a worker keeps.
@@ -148,6 +157,17 @@ def bucket_counts(shingles: np.ndarray, buckets: int) -> np.ndarray:
     return np.minimum(np.bincount(at, minlength=buckets), 255).astype(np.uint8)
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """A bit per range of shingles: whether it holds an odd number of them.
+
+    The bits in which two sets' sketches differ are no more than the shingles in which
+    the sets do.
+    """
+    at = (shingles >> np.uint64(65 - SKETCH_BITS.bit_length())).astype(np.int64)
+    odd = (np.bincount(at, minlength=SKETCH_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def fine_buckets(size: int) -> int:
     """A power of two of a quarter of the set's size or more, within the bounds."""
     return min(max(1 << (size // 4).bit_length(), BUCKETS), MOST_BUCKETS)
@@ -188,7 +208,7 @@ def _common_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarr
 
 
 _OF_SET = {"_digest": BinaryType(), "_size": LongType(), "_rare": ArrayType(LongType()),
-           "_small": ArrayType(LongType()), "_profile": BinaryType(), "_fine": BinaryType()}
+           "_small": ArrayType(LongType()), "_odd": ArrayType(LongType()), "_profile": BinaryType(), "_fine": BinaryType()}
 
 
 # Two hashes stand for a text, so that a wanted one is found without Python.
@@ -210,6 +230,7 @@ def _describe(words: int, percent: int, shared):
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([rarest(s, common, times, percent).view(np.int64) for s in sets], longs),
                     pa.array([s.view(np.int64) if len(s) <= small else None for s in sets], longs),
+                    pa.array([parity_sketch(s) for s in sets], longs),
                     pa.array([bucket_counts(s, BUCKETS).tobytes() for s in sets], pa.binary()),
                     pa.array([bucket_counts(s, fine_buckets(len(s))).tobytes() for s in sets], pa.binary()),
                 ],
@@ -284,6 +305,29 @@ def _may_be_similar(a: str, b: str, percent: int) -> Column:
     return F.least(*rests) * (100 + percent) >= (sizes[0] + sizes[1]) * percent
 
 
+def _sketches_near(a: str, b: str, sizes: Column, percent: int) -> Column:
+    """Whether sets of these sketches, which have ``sizes`` shingles together, can be similar."""
+    apart = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH_BITS // 64)]
+    return functools.reduce(Column.__add__, apart) * (100 + percent) <= sizes * (100 - percent)
+
+
+def _pairs_of_lists(first: DataFrame, second: DataFrame, apart: Column, percent: int) -> DataFrame:
+    """Distinct pairs, of one list and ``apart``, that sizes, places and sketches do not rule out."""
+    sides = [
+        rows.select("_key", "_light", *[F.col(c).alias(f"{c}_{x}") for c in ("_node", "_place", "_root", "_odd")])
+        for rows, x in ((first, "a"), (second, "b"))
+    ]
+    sizes = F.shiftright("_place_a", 32) + F.shiftright("_place_b", 32)
+    near = _may_be_similar("_place_a", "_place_b", percent) & _sketches_near("_odd_a", "_odd_b", sizes, percent)
+    return (
+        sides[0]
+        .join(sides[1], ["_key", "_light"])
+        .filter(apart & near)
+        .select(F.least("_node_a", "_node_b").alias("a"), F.greatest("_node_a", "_node_b").alias("b"))
+        .distinct()
+    )
+
+
 class _Verifier:
     """Tells which pairs of nodes are similar."""
 
@@ -363,6 +407,24 @@ class _Verifier:
         return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(keep, "a long, b long")
 
 
+def _still_apart(members: DataFrame, links: DataFrame, sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every linked node with its root, as links, and the members, with their sketches, of lists that have several roots."""
+    roots = cut_lineage(components(links, "a", "b"))
+    labelled = cut_lineage(
+        members.select("_key", "_light", "_node", "_place")
+        .join(roots, F.col("_node") == F.col("node"), "left")
+        .select("_key", "_light", "_node", "_place", F.coalesce("root", "_node").alias("_root"))
+    )
+    open_lists = (
+        labelled.groupBy("_key", "_light")
+        .agg(F.count("*").alias("_length"), F.min("_root").alias("_least"), F.max("_root").alias("_most"))
+        .filter(F.col("_least") != F.col("_most"))
+        .select("_key", "_light", "_length")
+    )
+    open_ = cut_lineage(labelled.join(open_lists, ["_key", "_light"]).join(sketches, "_node"))
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")), open_
+
+
 def _connect(listed: DataFrame, known: DataFrame, nodes: DataFrame, similar: _Verifier, split: bool) -> DataFrame:
     """Links that, with those of ``known``, connect all similar sets which meet in a list."""
     percent = similar.percent
@@ -379,31 +441,16 @@ def _connect(listed: DataFrame, known: DataFrame, nodes: DataFrame, similar: _Ve
     members = cut_lineage(listed.join(cut_lineage(lists), ["_key", "_light"]))
     hubs = members.filter((F.col("_node") != F.col("_low")) & _may_be_similar("_place", "_low_place", percent))
     pairs = hubs.select(F.col("_low").alias("a"), F.col("_node").alias("b")).distinct()
-    links = known.union(similar(pairs))
-    roots = cut_lineage(components(links, "a", "b"))
-    labelled = cut_lineage(
-        members.join(roots, F.col("_node") == F.col("node"), "left").select(
-            "_key", "_light", "_node", "_place", F.coalesce("root", "_node").alias("_root")
-        )
-    )
-    open_lists = (
-        labelled.groupBy("_key", "_light")
-        .agg(F.count("*").alias("_length"), F.min("_root").alias("_least"), F.max("_root").alias("_most"))
-        .filter(F.col("_least") != F.col("_most"))
-        .select("_key", "_light", "_length")
-    )
-    open_ = cut_lineage(labelled.join(open_lists, ["_key", "_light"]))
-    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    sketches = nodes.select("_node", "_odd")
+    links, open_ = _still_apart(members, known.union(similar(pairs)), sketches)
+    if not split:
+        rank = F.row_number().over(Window.partitionBy("_key", "_light").orderBy(F.xxhash64("_key", "_node"), "_node"))
+        hubs = open_.withColumn("_rank", rank).filter(F.col("_rank") <= HUBS)
+        pairs = _pairs_of_lists(open_, hubs, F.col("_root_a") != F.col("_root_b"), percent)
+        links, open_ = _still_apart(open_, links.union(similar(pairs)), sketches)
     is_long = (F.col("_length") > SPLIT_LIST) & ~F.col("_light") if split else F.lit(False)
     short = open_.filter(~is_long)
-    sides = [short.select("_key", "_light", *[F.col(f"_{c}").alias(f"_{c}_{x}") for c in ("node", "place", "root")]) for x in "ab"]
-    across = (
-        sides[0]
-        .join(sides[1], ["_key", "_light"])
-        .filter((F.col("_root_a") < F.col("_root_b")) & _may_be_similar("_place_a", "_place_b", percent))
-        .select(F.least("_node_a", "_node_b").alias("a"), F.greatest("_node_a", "_node_b").alias("b"))
-        .distinct()
-    )
+    across = _pairs_of_lists(short, short, F.col("_root_a") < F.col("_root_b"), percent)
     links = links.union(similar(across))
     long_ = open_.filter(is_long)
     if not split or long_.isEmpty():
@@ -429,7 +476,7 @@ def similar_groups(
     kept = {x: rows.schema[x].dataType for x in ("_id", *_TEXT_KEY)}
     schema = schema_of(kept | _OF_SET)
     stored = cut_lineage(rows.mapInArrow(_describe(words, percent, shared), schema))
-    whole = ("_size", "_rare", "_small", "_profile", "_fine")
+    whole = ("_size", "_rare", "_small", "_odd", "_profile", "_fine")
     nodes = (
         stored.filter("_size > 0")
         .groupBy("_digest")

@@ -88,6 +88,23 @@ def test_long_lists_are_split(spark, monkeypatch):
     assert check(spark, rows) == 40
 
 
+def test_a_family_of_near_copies_costs_few_pairs(spark, monkeypatch):
+    """Texts of one template with own edits: few are similar, all meet in its lists."""
+    monkeypatch.setattr(ngram_join, "SPLIT_LIST", 5)
+    monkeypatch.setattr(ngram_join, "ORDER_MOST", 0)
+    tested = []
+    close = ngram_join._Verifier._close
+    monkeypatch.setattr(ngram_join._Verifier, "_close", lambda self, p: tested.append(p.count()) or close(self, p))
+    rng = np.random.default_rng(35)
+    template = [f"t{x}" for x in range(200)]
+    rows = [(0, " ".join(template))]
+    for n in range(1, 140):
+        edits = 1 if n % 20 == 0 else 12
+        rows.append((n, " ".join(edited(rng, template, 1 + 3 * rng.choice(65, edits, replace=False)))))
+    assert check(spark, rows) > 100
+    assert sum(tested) < 10 * len(rows)  # all pairs are 70 times the rows
+
+
 @pytest.mark.parametrize("percent", [80, 90])
 def test_pairs_at_the_similarity_all_meet(spark, percent):
     rng = np.random.default_rng(33)
@@ -138,6 +155,19 @@ def test_counts_never_differ_more_than_sets():
                 assert len(a) < 40 or changed < len(a) // 2 or 2 * apart > min(changed, len(a))
 
 
+def test_parity_sketches_never_differ_more_than_sets():
+    rng = np.random.default_rng(36)
+    for size in (0, 1, 40, 300, 2500, 20_000):
+        for changed in (0, 1, size // 20, size // 2, size):
+            a = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[changed:], rng.integers(0, 1 << 64, changed + 3, dtype=np.uint64)]))
+            sketches = [ngram_join.parity_sketch(s) for s in (a, b)]
+            assert [len(x) for x in sketches] == [ngram_join.SKETCH_BITS // 64] * 2
+            apart = sum(int(x).bit_count() for x in (sketches[0] ^ sketches[1]).view(np.uint64))
+            assert apart <= len(np.setxor1d(a, b))
+            assert changed > 20 or 2 * apart > changed
+
+
 def test_counts_beyond_one_byte_stay_bounds():
     a = np.arange(1000, dtype=np.uint64)
     b = np.arange(900, 3000, dtype=np.uint64) + (np.arange(2100, dtype=np.uint64) << np.uint64(50))
