@@ -461,7 +461,7 @@ def _connect(listed: DataFrame, known: DataFrame, nodes: DataFrame, similar: _Ve
         "_key", "_node", "_place", F.explode(F.slice("_rare", at + 2, F.size("_rare"))).alias("_next")
     )
     twice = later.select(F.xxhash64("_key", "_next").alias("_key"), "_node", "_place", F.lit(False).alias("_light"))
-    return _connect(twice, links, nodes, similar, split=False)
+    return _connect(cut_lineage(twice), links, nodes, similar, split=False)
 
 
 def similar_groups(
